@@ -34,17 +34,31 @@ def _source(df: DataFrame, ref: str) -> Column | None:
     return F.col(f"`{name}`") if name in df.columns else None
 
 
-def event_struct(df: DataFrame, ev: dict, columns: list[str]) -> Column:
-    """One event of one row as a struct of ``columns`` plus the ``_keep`` flag."""
+def _time_key(df: DataFrame, ev: dict) -> tuple | None:
+    if ev.get("time") is None:
+        return None
+    name = column_ref(ev["time"]) or ev["time"]
+    if name not in df.columns:
+        return None
+    fmts = ev.get("time_format")
+    return name, tuple([fmts] if isinstance(fmts, str) else (fmts or []))
+
+
+def event_struct(df: DataFrame, ev: dict, columns: list[str], parsed: dict[tuple, str]) -> Column:
+    """One event of one row as a struct of ``columns`` plus the ``_keep`` flag.
+
+    ``parsed`` names the columns holding already parsed times (one per distinct
+    source column and formats), so a time shared by several events is parsed once.
+    """
     code, keep = code_column(df, ev["code"])
+    key = _time_key(df, ev)
     if ev.get("time") is None:
         time = static_time()
+    elif key is None:
+        time = static_time()
+        keep = F.lit(False)
     else:
-        name = column_ref(ev["time"]) or ev["time"]
-        if name in df.columns:
-            time = parse_time(F.col(f"`{name}`"), ev.get("time_format"), df.schema[name].dataType)
-        else:
-            time = static_time()
+        time = F.col(parsed[key])
         keep = keep & time.isNotNull()
     fields: list[Column] = []
     for name in columns:
@@ -65,9 +79,19 @@ def event_struct(df: DataFrame, ev: dict, columns: list[str]) -> Column:
 def extract_events(df: DataFrame, events: dict[str, dict]) -> DataFrame:
     """All ``events`` of one table, from one scan of ``df``."""
     columns = value_columns(events)
-    structs = [event_struct(df, ev, columns) for ev in events.values()]
+    parsed: dict[tuple, str] = {}
+    time_cols = []
+    for ev in events.values():
+        key = _time_key(df, ev)
+        if key is not None and key not in parsed:
+            parsed[key] = f"_time{len(parsed)}"
+            name, fmts = key
+            time_cols.append(parse_time(F.col(f"`{name}`"), list(fmts) or None,
+                                        df.schema[name].dataType).alias(parsed[key]))
+    base = df.select("*", *time_cols) if time_cols else df
+    structs = [event_struct(base, ev, columns, parsed) for ev in events.values()]
     if len(structs) == 1:
-        out = df.select(structs[0].alias("_e")).select("_e.*")
+        out = base.select(structs[0].alias("_e")).select("_e.*")
     else:
-        out = df.select(F.inline(F.array(*structs)))
+        out = base.select(F.inline(F.array(*structs)))
     return out.filter(F.col("_keep")).drop("_keep")

@@ -14,8 +14,16 @@ from cohortline.schemas import DICTIONARIES, ITEM_KEY, RAW
 from cohortline.sources.readers import conform
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the DataFrame (plan only, no data) is reused within a session
+    so that building a query does not list and open the same files again."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _text(ts: Column) -> Column:
