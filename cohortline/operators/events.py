@@ -29,29 +29,45 @@ def value_columns(events: dict[str, dict]) -> list[str]:
     return [n for n, _ in EVENT_COLUMNS if n in used or n in core]
 
 
-def _source(df: DataFrame, ref: str) -> Column | None:
+def _typed(types: dict, ref: str, target) -> Column:
+    """The input column ``ref`` in the output type (no cast when it already is)."""
     name = column_ref(ref) or ref
-    return F.col(f"`{name}`") if name in df.columns else None
+    if name not in types:
+        return _null(target)
+    if types[name] == target:
+        return F.col(f"`{name}`")
+    return typed_value(F.col(f"`{name}`"), target)
 
 
-def _time_key(df: DataFrame, ev: dict) -> tuple | None:
+_NULLS: dict[str, Column] = {}
+
+
+def _null(target) -> Column:
+    key = target.simpleString()
+    if key not in _NULLS:
+        _NULLS[key] = F.lit(None).cast(target)
+    return _NULLS[key]
+
+
+def _time_key(names: frozenset[str], ev: dict) -> tuple | None:
     if ev.get("time") is None:
         return None
     name = column_ref(ev["time"]) or ev["time"]
-    if name not in df.columns:
+    if name not in names:
         return None
     fmts = ev.get("time_format")
     return name, tuple([fmts] if isinstance(fmts, str) else (fmts or []))
 
 
-def event_struct(df: DataFrame, ev: dict, columns: list[str], parsed: dict[tuple, str]) -> Column:
+def event_struct(types: dict, ev: dict, columns: list[str], parsed: dict[tuple, str]) -> Column:
     """One event of one row as a struct of ``columns`` plus the ``_keep`` flag.
 
     ``parsed`` names the columns holding already parsed times (one per distinct
     source column and formats), so a time shared by several events is parsed once.
     """
-    code, keep = code_column(df, ev["code"])
-    key = _time_key(df, ev)
+    names = frozenset(types)
+    code, keep = code_column(names, ev["code"])
+    key = _time_key(names, ev)
     if ev.get("time") is None:
         time = static_time()
     elif key is None:
@@ -64,14 +80,13 @@ def event_struct(df: DataFrame, ev: dict, columns: list[str], parsed: dict[tuple
     for name in columns:
         target = EVENT_TYPES[name]
         if name == "subject_id":
-            value = typed_value(F.col(SUBJECT_ID_COL), target)
+            value = _typed(types, SUBJECT_ID_COL, target)
         elif name == "time":
             value = time
         elif name == "code":
             value = code
         else:
-            src = _source(df, ev[name]) if name in ev else None
-            value = typed_value(src, target) if src is not None else F.lit(None).cast(target)
+            value = _typed(types, ev[name], target) if name in ev else _null(target)
         fields.append(value.alias(name))
     return F.struct(*fields, keep.alias("_keep"))
 
@@ -79,17 +94,21 @@ def event_struct(df: DataFrame, ev: dict, columns: list[str], parsed: dict[tuple
 def extract_events(df: DataFrame, events: dict[str, dict]) -> DataFrame:
     """All ``events`` of one table, from one scan of ``df``."""
     columns = value_columns(events)
+    schema = df.schema  # one JVM round trip; DataFrame.schema is not cached
+    names = frozenset(schema.names)
     parsed: dict[tuple, str] = {}
     time_cols = []
     for ev in events.values():
-        key = _time_key(df, ev)
+        key = _time_key(names, ev)
         if key is not None and key not in parsed:
             parsed[key] = f"_time{len(parsed)}"
             name, fmts = key
             time_cols.append(parse_time(F.col(f"`{name}`"), list(fmts) or None,
-                                        df.schema[name].dataType).alias(parsed[key]))
+                                        schema[name].dataType).alias(parsed[key]))
     base = df.select("*", *time_cols) if time_cols else df
-    structs = [event_struct(base, ev, columns, parsed) for ev in events.values()]
+    types = {f.name: f.dataType for f in schema.fields}
+    types.update({alias: EVENT_TYPES["time"] for alias in parsed.values()})
+    structs = [event_struct(types, ev, columns, parsed) for ev in events.values()]
     if len(structs) == 1:
         out = base.select(structs[0].alias("_e")).select("_e.*")
     else:

@@ -64,11 +64,13 @@ def discover_prefixes(spark: SparkSession, input_dir: str) -> list[str]:
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
     """Declared columns by name with declared types (absent ones as typed nulls)."""
+    current_schema = df.schema  # one JVM round trip
+    current_types = {f.name: f.dataType for f in current_schema.fields}
     cols = []
     for f in schema.fields:
-        if f.name in df.columns:
+        if f.name in current_types:
             src = F.col(f"`{f.name}`")
-            current = df.schema[f.name].dataType
+            current = current_types[f.name]
             if current == f.dataType:
                 cols.append(src.alias(f.name))
             elif isinstance(f.dataType, T.StringType):
@@ -78,7 +80,7 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Dat
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     declared = {f.name for f in schema.fields}
-    extra = [F.col(f"`{c}`") for c in df.columns if c not in declared] if keep_extra else []
+    extra = [F.col(f"`{c}`") for c in current_types if c not in declared] if keep_extra else []
     return df.select(*cols, *extra)
 
 
