@@ -55,17 +55,17 @@ def hash_files(spark: SparkSession, root: str) -> DataFrame:
 
     ``binaryFile`` loads one file per row; files over 2 GB cannot be read this way.
     """
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    prefix = fs.makeQualified(p).toString().rstrip("/") + "/"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .select("path", "content"))
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _escape(prefix.split(":", 1)[-1].lstrip("/")), "")
+    rel = F.when(F.col("path").startswith(prefix), F.substr(F.col("path"), F.lit(len(prefix) + 1))) \
+        .otherwise(F.col("path"))
     return files.select(rel.alias("key"), F.sha2(F.col("content"), 256).alias("actual_sha256"))
 
 
-def _escape(text: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in text)
-
-
 def audit_directory(spark: SparkSession, root: str, manifest_path: str) -> DataFrame:
     """Audit the files under ``root`` against the manifest file at ``manifest_path``."""
     lines = spark.read.text(manifest_path)

@@ -131,3 +131,20 @@ def test_lookup_join_shuffle_path_routes_null_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == [(1, "t10"), (2, None), (3, "t11")]
     assert sorted(tuple(r) for r in lookup_join(left, right, "hadm_id").select("subject_id", "dischtime").collect()) == got
+
+
+def test_missing_icd_dictionary_is_named(spark):
+    diag = fx.diagnoses_icd(spark, SF_SMALL)
+    adm = fx.admissions(spark, SF_SMALL)
+    inputs = etl.Inputs({"hosp/diagnoses_icd": diag, "hosp/admissions": adm}, {})
+    with pytest.raises(FileNotFoundError, match="hosp/d_icd_diagnoses"):
+        etl.prepare(inputs)
+
+
+def test_command_line(spark, raw_dir, tmp_path):
+    from cohortline.__main__ import main
+
+    paths = main([raw_dir, str(tmp_path / "cli"), "--dataset-name", "d", "--subjects-per-shard", "500"])
+    splits = spark.read.parquet(paths["splits"])
+    assert splits.agg({"shard": "max"}).first()[0] == 0
+    assert spark.read.parquet(paths["data"]).count() > 0
