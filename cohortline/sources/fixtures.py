@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.schemas import DICTIONARIES, ITEM_KEY, RAW
-from cohortline.sources.readers import conform
+from cohortline.sources.readers import conform, spread
 
 
 _TABLES: dict[tuple, DataFrame] = {}
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     so that building a query does not list and open the same files again."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
     return _TABLES[key]
 
 
