@@ -37,10 +37,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+# Catalyst sizes a Parquet scan by its (compressed) file bytes; rows in a broadcast
+# hash relation take several times that. The estimate is scaled by this factor.
+IN_MEMORY_FACTOR = 4
+
+
 def fits_broadcast(df: DataFrame, size_bytes: int | None = None) -> bool:
+    """Whether ``df`` may be broadcast: an exact size in bytes when the caller
+    knows one, otherwise Catalyst's estimate scaled to in-memory size."""
     limit = broadcast_limit(df.sparkSession)
-    size = estimated_bytes(df) if size_bytes is None else size_bytes
-    return limit >= 0 and size is not None and size <= limit
+    if size_bytes is None:
+        estimate = estimated_bytes(df)
+        size_bytes = None if estimate is None else estimate * IN_MEMORY_FACTOR
+    return limit >= 0 and size_bytes is not None and size_bytes <= limit
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",

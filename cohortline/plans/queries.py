@@ -23,7 +23,7 @@ from cohortline.operators import subjects as subject_ops
 from cohortline.operators.events import extract_events
 from cohortline.plans import oracle as O
 from cohortline.plans.event_spec import EVENTS
-from cohortline.schemas import DICTIONARIES, EVENT_COLUMNS, RAW, SPLITS_SCHEMA
+from cohortline.schemas import EVENT_COLUMNS, RAW, SPLITS_SCHEMA
 from cohortline.session import ensure_conf, scratch_dir
 from cohortline.sources import fixtures as fx
 from cohortline.sources.readers import discover_prefixes, read_csv, read_table, resolve_prefix
@@ -235,8 +235,7 @@ def land_parquet(spark, d):
     root = scratch_dir(spark, "landing")
     src = f"{root}/icu/inputevents.csv.gz"
     fx.inputevents(spark, d).write.mode("overwrite").option("header", "true").option("compression", "gzip").csv(src)
-    raw = read_csv(spark, src)
-    out = land(spark, raw, src, f"{root}/landed/icu/inputevents.parquet")
+    land(spark, read_csv(spark, src), src, f"{root}/landed/icu/inputevents.parquet")
     return read_table(spark, f"{root}/landed", "icu/inputevents", RAW["icu/inputevents"])
 
 
