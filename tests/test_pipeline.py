@@ -160,7 +160,9 @@ def test_hot_subject_is_split_across_tasks(spark, tmp_path):
                                        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("time"),
                                        F.concat(F.lit("LAB//"), (F.col("id") % 5).cast("string")).alias("code"))
     events = cohort_ops.conform_events(hot.unionByName(rest))
-    with_shards = events.withColumn("split", F.lit("train")).withColumn(
+    # split must be a real column: a literal is dropped from the sort order, and the
+    # writer would then re-sort by its partition columns only (losing time order).
+    with_shards = events.withColumn("split", F.when(F.col("subject_id") >= 0, F.lit("train"))).withColumn(
         "shard", (F.col("subject_id") / 1000).cast("int"))
     # AQE would merge this tiny data into one partition; at scale every range
     # partition is already at the advisory size, so nothing is merged there.
