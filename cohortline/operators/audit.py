@@ -55,10 +55,9 @@ def hash_files(spark: SparkSession, root: str) -> DataFrame:
 
     ``binaryFile`` loads one file per row; files over 2 GB cannot be read this way.
     """
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    prefix = fs.makeQualified(p).toString().rstrip("/") + "/"
+    from cohortline.sources import files
+
+    prefix = files.qualified(spark, root).rstrip("/") + "/"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .select("path", "content"))
     rel = F.when(F.col("path").startswith(prefix), F.substr(F.col("path"), F.lit(len(prefix) + 1))) \

@@ -53,12 +53,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local runs, tests) a private one is created
     and registered, so ``DataFrame.checkpoint()`` works everywhere.
     """
-    sc = spark.sparkContext
-    current = None
     try:
-        current = sc.getCheckpointDir()
-    except Exception:  # pragma: no cover - older API
-        current = None
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's setting is the only one
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session")
+        return configured
+    current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:

@@ -20,7 +20,11 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the DataFrame (plan only, no data) is reused within a session
     so that building a query does not list and open the same files again."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no context on the client
+        app = spark.conf.get("spark.app.id", "")
+    key = (id(spark), app, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
         _TABLES[key] = spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
     return _TABLES[key]

@@ -13,19 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortline.sources import files
+
 # Accepted suffixes in priority order.
 SUFFIXES = (".csv.gz", ".csv", ".parquet")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    return files.exists(spark, path)
 
 
 def resolve_prefix(spark: SparkSession, input_dir: str, prefix: str) -> tuple[str, str]:
@@ -44,12 +39,9 @@ def discover_prefixes(spark: SparkSession, input_dir: str) -> list[str]:
     A table is a file, or a folder of part files (as Spark writes it), whose name
     ends in one of SUFFIXES; hidden and ``_``-prefixed entries are skipped.
     """
-    fs, root = _fs(spark, input_dir)
-    root_uri = fs.makeQualified(root).toString().rstrip("/")
-    it = fs.listFiles(root, True)
+    root_uri = files.qualified(spark, input_dir).rstrip("/")
     found = set()
-    while it.hasNext():
-        path = it.next().getPath().toString()
+    for path in files.list_files(spark, input_dir):
         rel = path[len(root_uri) + 1:] if path.startswith(root_uri) else path
         parts = rel.split("/")
         if any(p.startswith((".", "_")) for p in parts):
@@ -109,11 +101,10 @@ def spread(df: DataFrame, size_bytes: int | None = None) -> DataFrame:
     Large inputs with many splits - the normal case at scale - are left alone,
     so this adds no shuffle there.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:
+    except Exception:  # no JVM gateway (Spark Connect): leave the input as it is
         return df
     if splits >= cores:
         return df
