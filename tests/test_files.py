@@ -11,7 +11,9 @@ class NoGateway:
         raise RuntimeError("no JVM")
 
 
-def test_helpers_with_and_without_gateway(spark, tmp_path):
+def test_helpers_with_and_without_gateway(spark, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("listing")
+    outputs = tmp_path_factory.mktemp("outputs")
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.csv").write_text("12345")
     for session in (spark, NoGateway()):
@@ -21,6 +23,6 @@ def test_helpers_with_and_without_gateway(spark, tmp_path):
         listed = files.list_files(session, str(tmp_path))
         assert [p.rsplit("/", 2)[-2:] for p in listed] == [["a", "x.csv"]]
         assert listed[0].startswith(files.qualified(session, str(tmp_path)))
-        out = str(tmp_path / "m" / f"d-{type(session).__name__}.json")
+        out = str(outputs / "m" / f"d-{type(session).__name__}.json")
         files.write_text(session, out, '{"k": 1}')
         assert open(out).read() == '{"k": 1}'
