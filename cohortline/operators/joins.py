@@ -1,9 +1,12 @@
 """Equi-joins against lookup sides whose size is checked before broadcasting.
 
 A lookup side is broadcast only when its size is known to fit under the session's
-broadcast threshold; otherwise the join shuffles, and rows whose key is null
-(which can never match, and would all hash into one partition) bypass the exchange.
-Skew on non-null keys is left to adaptive execution's skew-join splitting.
+broadcast threshold. Otherwise the join shuffles. Rows whose key is null can never
+match, but would all hash into one partition, so they are salted: the join runs on
+``(key, salt)`` where a null-key row gets a salt in 1..N from a hash of the row and
+every lookup row has salt 0. The null rows spread over the partitions, still never
+match, and the input is scanned once. Skew on non-null keys is left to adaptive
+execution's skew-join splitting.
 """
 
 from __future__ import annotations
@@ -52,6 +55,11 @@ def fits_broadcast(df: DataFrame, size_bytes: int | None = None) -> bool:
     return limit >= 0 and size_bytes is not None and size_bytes <= limit
 
 
+# Partitions the null-key rows of a shuffled left join are spread over.
+NULL_KEY_SPREAD = 1024
+_SALT = "_null_salt"
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
                 right_bytes: int | None = None) -> DataFrame:
     """``left JOIN right USING (on)`` for a lookup ``right`` (left or inner join)."""
@@ -59,15 +67,17 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
         raise ValueError("lookup_join supports left and inner joins")
     if fits_broadcast(right, right_bytes):
         return left.join(F.broadcast(right), on, how)
-    key: Column = F.col(on)
-    matched = left.filter(key.isNotNull()).join(right, on, how)
     if how == "inner":
-        return matched
-    extra = [f for f in right.schema.fields if f.name != on]
-    unmatched = left.filter(key.isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
-    )
-    return matched.unionByName(unmatched)
+        return left.join(right, on, how)  # null keys are filtered before the exchange
+    key: Column = F.col(on)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salt = F.when(key.isNull(), F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)) + 1).otherwise(F.lit(0))
+    salted = left.withColumn(_SALT, salt)
+    # The lookup's salt is 0 but must not be foldable: Catalyst would turn
+    # "salt = 0" into a filter, drop it from the join keys, and null keys would
+    # hash together again. pmod(hash, 1) is 0 for every row and is not folded.
+    right_salt = F.pmod(F.xxhash64(F.col(on)), F.lit(1))
+    return salted.join(right.withColumn(_SALT, right_salt), [on, _SALT], how).drop(_SALT)
 
 
 def union_all(frames: list[DataFrame], allow_missing: bool = True) -> DataFrame:

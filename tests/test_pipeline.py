@@ -117,6 +117,24 @@ def test_finalize_uses_hash_then_range_exchange(spark):
     assert plan.count("Exchange") == 2 and "rangepartitioning" in plan
 
 
+def test_lookup_join_spreads_null_keys(spark):
+    """With the lookup too large to broadcast, null keys must not share one task."""
+    left = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("hadm_id"), F.col("id").alias("v"))
+    right = spark.range(0, 4000, 4).select(F.col("id").alias("hadm_id"), F.lit("t").alias("dischtime"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "-1")
+        spark.conf.set(keys[1], "false")
+        out = lookup_join(left, right, "hadm_id")
+        parts = out.filter(F.col("dischtime").isNull()).select(F.spark_partition_id()).distinct().count()
+        assert out.count() == 4000 and out.filter(F.col("dischtime").isNotNull()).count() == 1000
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    assert parts > 1
+
+
 def test_lookup_join_shuffle_path_routes_null_keys(spark):
     left = spark.createDataFrame([(1, 10), (2, None), (3, 11)], "subject_id bigint, hadm_id bigint")
     right = spark.createDataFrame([(10, "t10"), (11, "t11")], "hadm_id bigint, dischtime string")
@@ -124,8 +142,8 @@ def test_lookup_join_shuffle_path_routes_null_keys(spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         shuffled = lookup_join(left, right, "hadm_id")
-        plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
-        assert "Union" in plan
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        assert "Union" not in plan and "_null_salt" in plan and "SortMergeJoin" in plan
         got = sorted(tuple(r) for r in shuffled.select("subject_id", "dischtime").collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
