@@ -9,7 +9,8 @@ files and manifest classifies each key:
 * ``valid`` - hashes equal: nothing to fetch;
 * ``mismatch`` - hashes differ: fetch again;
 * ``not_in_manifest`` - a file the manifest does not list: fetch again;
-* ``missing`` - a listed path with no file (our addition): fetch.
+* ``missing`` - a listed path with no file (our addition): fetch;
+* ``manifest_unreadable`` - the manifest cannot be read: every file is fetched.
 """
 
 from __future__ import annotations
@@ -67,5 +68,10 @@ def hash_files(spark: SparkSession, root: str) -> DataFrame:
 
 def audit_directory(spark: SparkSession, root: str, manifest_path: str) -> DataFrame:
     """Audit the files under ``root`` against the manifest file at ``manifest_path``."""
-    lines = spark.read.text(manifest_path)
-    return audit(hash_files(spark, root), parse_manifest(lines))
+    from cohortline.sources import files
+
+    hashed = hash_files(spark, root)
+    if not files.exists(spark, manifest_path):
+        return hashed.select("key", F.lit(None).cast("string").alias("expected_sha256"), "actual_sha256",
+                             F.lit("manifest_unreadable").alias("status"), F.lit(True).alias("refetch"))
+    return audit(hashed, parse_manifest(spark.read.text(manifest_path)))

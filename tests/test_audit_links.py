@@ -29,6 +29,13 @@ def test_manifest_valid_and_mismatch(spark, tmp_path):
                    "extra.csv": ("not_in_manifest", True), "gone.csv": ("missing", True)}
 
 
+def test_unreadable_manifest_fetches_everything(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.csv").write_text("a")
+    got = [(r.key, r.status, r.refetch) for r in A.audit_directory(spark, str(tmp_path / "f"), str(tmp_path / "none.txt")).collect()]
+    assert got == [("a.csv", "manifest_unreadable", True)]
+
+
 def test_manifest_last_line_wins(spark):
     lines = spark.createDataFrame([(f"{sha('a')} f.csv", 1), (f"{sha('b')} f.csv", 2), ("short", 3)], "value string, n long")
     got = A.parse_manifest(lines, order_col="n").collect()
