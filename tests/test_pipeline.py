@@ -204,3 +204,13 @@ def test_hot_subject_is_split_across_tasks(spark, tmp_path):
         rows = pq.read_table(f, columns=["subject_id", "time"]).to_pylist()
         keys = [(r["subject_id"], r["time"]) for r in rows]
         assert keys == sorted(keys)
+
+
+def test_rerun_overwrites(spark, built, raw_dir):
+    out, paths = built
+    before = spark.read.parquet(paths["data"]).count()
+    codes = spark.read.parquet(paths["codes"]).count()
+    etl.run(spark, raw_dir, out, dataset_name="demo", dataset_version="1:1", n_per_shard=40)
+    assert spark.read.parquet(paths["data"]).count() == before
+    assert spark.read.parquet(paths["codes"]).count() == codes
+    assert json.loads(open(f"{out}/metadata/dataset.json").read())["dataset_version"] == "1:1"
