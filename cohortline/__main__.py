@@ -24,13 +24,17 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--dataset-version", default="unknown")
     parser.add_argument("--seed", type=int, default=DEFAULT_SEED)
     parser.add_argument("--subjects-per-shard", type=int, default=SUBJECTS_PER_SHARD)
+    parser.add_argument("--cohort-strategy", default="dedupe_then_range",
+                        choices=["dedupe_then_range", "range_only"],
+                        help="exchanges of the cohort write (see operators/cohort.finalize)")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     args = parser.parse_args(argv)
     if args.subjects_per_shard < 1:
         parser.error("--subjects-per-shard must be a positive integer")
     spark = get_session(args.master)
     paths = etl.run(spark, args.input_dir, args.output_dir, dataset_name=args.dataset_name,
-                    dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard)
+                    dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard,
+                    cohort_strategy=args.cohort_strategy)
     print(json.dumps(paths))
     return paths
 

@@ -117,6 +117,22 @@ def test_finalize_uses_hash_then_range_exchange(spark):
     assert plan.count("Exchange") == 2 and "rangepartitioning" in plan
 
 
+def test_finalize_strategies_agree(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, "b", 5), (1, "c", 3), (2, "b", 5)]
+    # real columns, as after the shard join (constants would be folded out of the order)
+    df = spark.createDataFrame(rows, "subject_id bigint, code string, hadm_id bigint") \
+        .withColumn("time", F.timestamp_seconds(F.col("subject_id")).cast("timestamp_ntz")) \
+        .withColumn("split", F.when(F.col("subject_id") > 0, F.lit("train"))) \
+        .withColumn("shard", (F.col("subject_id") / 1000).cast("int"))
+    a = [tuple(r) for r in cohort_ops.finalize(df, "dedupe_then_range").collect()]
+    b = [tuple(r) for r in cohort_ops.finalize(df, "range_only").collect()]
+    assert a == b and len(a) == 3
+    plan = cohort_ops.finalize(df, "range_only")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    with pytest.raises(ValueError):
+        cohort_ops.finalize(df, "other")
+
+
 def test_lookup_join_spreads_null_keys(spark):
     """With the lookup too large to broadcast, null keys must not share one task."""
     left = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("hadm_id"), F.col("id").alias("v"))
