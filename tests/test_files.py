@@ -26,3 +26,18 @@ def test_helpers_with_and_without_gateway(spark, tmp_path_factory):
         out = str(outputs / "m" / f"d-{type(session).__name__}.json")
         files.write_text(session, out, '{"k": 1}')
         assert open(out).read() == '{"k": 1}'
+
+
+def test_size_shuffles_respects_user_setting(spark):
+    from cohortline.session import size_shuffles
+
+    assert size_shuffles(spark, 10 << 40) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert size_shuffles(spark, 100 << 30) == 1601
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1601"
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert size_shuffles(spark, 1 << 20) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
