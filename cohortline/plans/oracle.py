@@ -63,6 +63,16 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 SELECT user_id AS subject_id, strftime(ts, '%Y-%m-%d') AS chartdate,
  CASE WHEN event_id % 6 = 0 THEN NULL ELSE event_type END AS result_name, CAST(props AS VARCHAR) AS result_value
 FROM events""",
+    "proc_datetimeevents": """
+SELECT CAST(p_partkey AS VARCHAR) AS "itemid (omop_source_code)", p_brand AS label,
+ CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END AS omop_concept_name,
+ 'SNOMED' AS omop_vocabulary_id, p_type AS omop_concept_code
+FROM part""",
+    "proc_itemid": """
+SELECT CAST(p_partkey AS VARCHAR) AS "itemid (omop_source_code)", p_brand AS label,
+ CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END AS omop_concept_name,
+ 'LOINC' AS omop_vocabulary_id, CAST(p_size AS VARCHAR) AS omop_concept_code
+FROM part""",
     "death_times": "SELECT subject_id, min(deathtime) AS deathtime FROM admissions GROUP BY subject_id",
     "patients_prepared": """
 SELECT p.subject_id, coalesce(d.deathtime, p.dod) AS dod,

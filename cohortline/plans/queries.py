@@ -426,10 +426,20 @@ def event_dedupe(spark, d):
     return cohort_ops.dedupe(extract_events(fx.inputevents(spark, d), EVENTS["icu/inputevents"]))
 
 
-@query("code_metadata_collapse", O.with_views(["d_labitems_to_loinc"], _collapse_sql(_LAB_META_SQL)))
+_PROC_META_SQL = "\nUNION ALL\n".join(
+    f"""SELECT 'PROCEDURE//{kind}//' || coalesce("itemid (omop_source_code)", 'UNK') AS code,
+  coalesce(omop_concept_name, label) AS description, omop_vocabulary_id || '/' || omop_concept_code AS parent_codes
+FROM {view}""" for kind in ("START", "END") for view in ("proc_datetimeevents", "proc_itemid"))
+
+
+@query("code_metadata_collapse", O.with_views(["proc_datetimeevents", "proc_itemid"], _collapse_sql(_PROC_META_SQL)))
 def code_metadata_collapse(spark, d):
-    """AG4: dictionary rows of one code collapsed (sorted distinct descriptions, parents)."""
-    return meta_ops.collapse(_lab_metadata(spark, d)).select("code", "description", _joined("parent_codes"))
+    """AG4: two procedure dictionaries over every part; each code's rows collapse to
+    sorted distinct descriptions and parent codes."""
+    spec = {"icu/procedureevents": EVENTS["icu/procedureevents"]}
+    dicts = {"proc_datetimeevents": fx.proc_datetimeevents(spark, d), "proc_itemid": fx.proc_itemid(spark, d)}
+    rows = meta_ops.all_dictionary_codes(spec, dicts)
+    return meta_ops.collapse(rows).select("code", "description", _joined("parent_codes"))
 
 
 @query("distinct_subjects", O.with_views(SUBJECT_TABLES, _SUBJECTS_SQL))
@@ -555,11 +565,11 @@ def parent_code_conditional(spark, d):
     return meta_ops.dictionary_codes(dictionary, ev, ev["_metadata"]["hosp/d_icd_procedures"])
 
 
-@query("description_collate", O.with_views(["d_labitems_to_loinc"], """
-SELECT "itemid (omop_source_code)" AS itemid, coalesce(omop_concept_name, label) AS description FROM d_labitems_to_loinc"""))
+@query("description_collate", O.with_views(["proc_datetimeevents"], """
+SELECT "itemid (omop_source_code)" AS itemid, coalesce(omop_concept_name, label) AS description FROM proc_datetimeevents"""))
 def description_collate(spark, d):
     """First non-null of the description columns; a spaced column renamed."""
-    dictionary = fx.d_labitems_to_loinc(spark, d)
+    dictionary = fx.proc_datetimeevents(spark, d)
     return dictionary.select(F.col("`itemid (omop_source_code)`").alias("itemid"),
                              code_fns.collate(dictionary, ["omop_concept_name", "label"]).alias("description"))
 

@@ -171,3 +171,33 @@ def omr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAW_FIXTURES["hosp/omr"] = omr
+
+
+def proc_datetimeevents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A procedure-item dictionary over every part (grows with the data)."""
+    p = table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    return conform(p.select(
+        pk.cast("string").alias(ITEM_KEY),
+        F.col("p_brand").alias("label"),
+        F.when(pk % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("omop_concept_name"),
+        F.lit("SNOMED").alias("omop_vocabulary_id"),
+        F.col("p_type").alias("omop_concept_code"),
+    ), DICTIONARIES["proc_datetimeevents"], keep_extra=False)
+
+
+def proc_itemid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second dictionary for the same items, so codes have two rows to collapse."""
+    p = table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    return conform(p.select(
+        pk.cast("string").alias(ITEM_KEY),
+        F.col("p_brand").alias("label"),
+        F.when(pk % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("omop_concept_name"),
+        F.lit("LOINC").alias("omop_vocabulary_id"),
+        F.col("p_size").cast("string").alias("omop_concept_code"),
+    ), DICTIONARIES["proc_itemid"], keep_extra=False)
+
+
+DICTIONARY_FIXTURES["proc_datetimeevents"] = proc_datetimeevents
+DICTIONARY_FIXTURES["proc_itemid"] = proc_itemid
