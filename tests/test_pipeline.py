@@ -230,3 +230,28 @@ def test_rerun_overwrites(spark, built, raw_dir):
     assert spark.read.parquet(paths["data"]).count() == before
     assert spark.read.parquet(paths["codes"]).count() == codes
     assert json.loads(open(f"{out}/metadata/dataset.json").read())["dataset_version"] == "1:1"
+
+
+def test_shard_index_tier_matches_map(spark):
+    """When the subject map is too big to broadcast but the bucket index is not,
+    events get the same split and shard without a shuffle of the events."""
+    from cohortline.operators import subjects as S
+    from cohortline.plans import queries as Q
+
+    shards = S.assign_shards(Q._subjects(spark, SF_SMALL), n_per_shard=7).checkpoint()
+    n = shards.count()
+    events = Q._cohort_events(spark, SF_SMALL)
+    by_map = S.attach_shards(events, shards, shard_rows=n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # between the index's bound and the map's bound for these subjects
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(n * 56))
+        by_index = S.attach_shards(events, shards, shard_rows=n)
+        plan = by_index._jdf.queryExecution().executedPlan().toString()
+        # the index is broadcast: no sort-merge join of the events with the subject map
+        assert "_cuts" in plan and "SortMergeJoin [subject_id" not in plan
+        cols = by_map.columns
+        assert by_index.select(*cols).exceptAll(by_map).count() == 0
+        assert by_map.exceptAll(by_index.select(*cols)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
