@@ -255,3 +255,17 @@ def test_shard_index_tier_matches_map(spark):
         assert by_map.exceptAll(by_index.select(*cols)).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cohort_schema(spark, built):
+    from cohortline.schemas import EVENT_COLUMNS
+
+    _, paths = built
+    got = dict(spark.read.parquet(paths["data"]).dtypes)
+    expected = {n: t.simpleString() for n, t in EVENT_COLUMNS}
+    expected.update({"split": "string", "shard": "int"})
+    assert got == expected
+    codes = dict(spark.read.parquet(paths["codes"]).dtypes)
+    assert codes["code"] == "string" and codes["description"] == "string"
+    assert codes["parent_codes"] == "array<string>"
+    assert dict(spark.read.parquet(paths["splits"]).dtypes) == {"subject_id": "bigint", "split": "string", "shard": "int"}
