@@ -114,3 +114,28 @@ def test_time_formats_rule(spark, values):
             if expected is not None:
                 break
         assert r.t == expected, r.s
+
+
+from urllib.parse import urljoin  # noqa: E402
+
+from cohortline.operators.links import page_links  # noqa: E402
+
+BASES = ["http://example.com/", "http://example.com/a/b/", "http://example.com/a/b?x=1", "https://ex.org",
+         "http://ex.org/a/b.html#frag", "https://m.ex.net/en/25?page=2&ref=x"]
+segment = st.text(alphabet="abcxyz019_-", min_size=1, max_size=4)
+paths = st.lists(segment, min_size=0, max_size=3).map("/".join)
+hrefs = st.one_of(
+    paths, paths.map(lambda p: "/" + p), paths.map(lambda p: p + "/"),
+    paths.map(lambda p: "//other.org/" + p), paths.map(lambda p: "https://other.org/" + p),
+    segment.map(lambda q: "?" + q), segment.map(lambda f: "#" + f), st.just(""),
+)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(BASES), hrefs), min_size=1, max_size=30))
+def test_link_resolution_matches_urljoin(spark, pairs):
+    rows = [(i, base, f'<a href="{href}">x</a>') for i, (base, href) in enumerate(pairs)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.link_url for r in page_links(pages).collect()}
+    for i, (base, href) in enumerate(pairs):
+        assert got[i] == urljoin(base, href), (base, href)
