@@ -139,3 +139,29 @@ def test_link_resolution_matches_urljoin(spark, pairs):
     got = {r.page_id: r.link_url for r in page_links(pages).collect()}
     for i, (base, href) in enumerate(pairs):
         assert got[i] == urljoin(base, href), (base, href)
+
+
+import hashlib  # noqa: E402
+
+from cohortline.operators.subjects import assign_shards  # noqa: E402
+
+
+def py_shards(ids, n, seed=42):
+    out, by_split = {}, {}
+    for i in ids:
+        h = int(hashlib.md5(f"{i}:{seed}".encode()).hexdigest()[:8], 16)
+        u = h / 2 ** 32
+        split = "train" if u < 0.8 else "tuning" if u < 0.9 else "held_out"
+        by_split.setdefault(split, []).append((h, i))
+    for split, keys in by_split.items():
+        for rank, (_, i) in enumerate(sorted(keys), start=1):
+            out[i] = (split, (rank - 1) // n, rank)
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sets(st.integers(0, 10 ** 9), min_size=1, max_size=300), st.integers(1, 25))
+def test_shards_match_rule(spark, ids, n):
+    df = spark.createDataFrame([(i,) for i in sorted(ids)], "subject_id bigint")
+    got = {r.subject_id: (r.split, r.shard, r.rank) for r in assign_shards(df, n_per_shard=n, keep_rank=True).collect()}
+    assert got == py_shards(ids, n)
