@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 
 from cohortline.operators.subjects import DEFAULT_SEED, SUBJECTS_PER_SHARD
 from cohortline.plans import etl
@@ -29,6 +30,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                         help="exchanges of the cohort write (see operators/cohort.finalize)")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     args = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     if args.subjects_per_shard < 1:
         parser.error("--subjects-per-shard must be a positive integer")
     spark = get_session(args.master)

@@ -39,6 +39,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("COHORTLINE_DRIVER_MEMORY", "8g"))
+        # checkpoint files of released DataFrames are removed from the shared folder
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
