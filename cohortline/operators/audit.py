@@ -24,7 +24,7 @@ def parse_manifest(lines: DataFrame, line_col: str = "value", order_col: str | N
     tokens = F.split(F.trim(F.col(line_col)), r"\s+")
     parsed = lines.select(
         tokens.getItem(1).alias("key"),
-        F.lower(tokens.getItem(0)).alias("expected_sha256"),
+        tokens.getItem(0).alias("expected_sha256"),
         (F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("_line"),
         F.size(tokens).alias("_n"),
     ).filter((F.col("_n") >= 2) & (F.col("key") != ""))

@@ -165,3 +165,26 @@ def test_shards_match_rule(spark, ids, n):
     df = spark.createDataFrame([(i,) for i in sorted(ids)], "subject_id bigint")
     got = {r.subject_id: (r.split, r.shard, r.rank) for r in assign_shards(df, n_per_shard=n, keep_rank=True).collect()}
     assert got == py_shards(ids, n)
+
+
+from cohortline.operators.audit import parse_manifest  # noqa: E402
+
+token = st.text(alphabet="abcdef0123456789./_", min_size=1, max_size=6)
+manifest_lines = st.one_of(
+    st.tuples(token, token).map(lambda t: f"{t[0]}  {t[1]}"),
+    st.tuples(token, token, token).map(lambda t: f"{t[0]} {t[1]} {t[2]}"),
+    token, st.just(""), st.just("   "),
+)
+
+
+@SETTINGS
+@given(st.lists(manifest_lines, min_size=1, max_size=40))
+def test_manifest_parse_rule(spark, lines):
+    expected = {}
+    for line in lines:
+        parts = line.split()
+        if len(parts) >= 2:
+            expected[parts[1]] = parts[0]
+    df = spark.createDataFrame([(ln, i) for i, ln in enumerate(lines)], "value string, n long")
+    got = {r.key: r.expected_sha256 for r in parse_manifest(df, order_col="n").collect()}
+    assert got == expected
