@@ -18,13 +18,17 @@ from cohortline.session import get_session
 
 
 def main(argv: list[str] | None = None) -> dict[str, str]:
-    parser = argparse.ArgumentParser(prog="cohortline", description=__doc__.splitlines()[0])
-    parser.add_argument("input_dir")
-    parser.add_argument("output_dir")
-    parser.add_argument("--dataset-name", default="dataset")
-    parser.add_argument("--dataset-version", default="unknown")
-    parser.add_argument("--seed", type=int, default=DEFAULT_SEED)
-    parser.add_argument("--subjects-per-shard", type=int, default=SUBJECTS_PER_SHARD)
+    parser = argparse.ArgumentParser(
+        prog="cohortline",
+        description="Build a longitudinal event cohort (events by split and shard, code catalogue, "
+                    "subject splits, dataset descriptor) from raw clinical tables.")
+    parser.add_argument("input_dir", help="folder of raw tables (.csv.gz, .csv or .parquet per table)")
+    parser.add_argument("output_dir", help="folder for data/ and metadata/ (rewritten)")
+    parser.add_argument("--dataset-name", default="dataset", help="written to metadata/dataset.json")
+    parser.add_argument("--dataset-version", default="unknown", help="written to metadata/dataset.json")
+    parser.add_argument("--seed", type=int, default=DEFAULT_SEED, help="seed of the subject split hash")
+    parser.add_argument("--subjects-per-shard", type=int, default=SUBJECTS_PER_SHARD,
+                        help="subjects per output shard")
     parser.add_argument("--cohort-strategy", default="dedupe_then_range",
                         choices=["dedupe_then_range", "range_only"],
                         help="exchanges of the cohort write (see operators/cohort.finalize)")
