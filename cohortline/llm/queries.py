@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import bpe, suffix_repetition
+from cohortline.llm import (bpe, exact_dedup, license_scan, mixing, pii, sharding, suffix_repetition,
+                            url_templates)
 from cohortline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,104 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(tokens, VOCABULARY).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op1_exact_dedup", """
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    spellings = "folded"
+    spellings = f"regexp_replace({spellings}, {q(license_scan.COPYRIGHT_LINE)}, ' ', 'g')"
+    for pattern, replacement in license_scan.SPELLINGS:
+        spellings = f"regexp_replace({spellings}, {q(pattern)}, {q(replacement)}, 'g')"
+    known = ", ".join(f"({q(a)}, {q(b)})" for a, b in license_scan.KNOWN)
+
+    def canonical(source: str, columns: str) -> str:
+        return f"""SELECT {columns}, trim(regexp_replace({spellings}, {q(license_scan.SEPARATORS)}, ' ', 'g')) AS form
+            FROM (SELECT *, translate(unit, '{license_scan.UPPER}', '{license_scan.LOWER}') AS folded FROM {source})"""
+
+    return f"""
+        WITH known AS (SELECT * FROM (VALUES {known}) v(licence, unit)),
+        known_forms AS (SELECT DISTINCT licence, sha256(form) AS digest FROM ({canonical("known", "licence")})),
+        parts AS (
+            SELECT DISTINCT doc_id, whole, unit FROM (
+                SELECT doc_id, whole, unnest(list_concat([whole], string_split_regex(whole, '\n[ \\t\\r]*\n'),
+                                                         string_split(whole, chr(10)))) AS unit
+                FROM (SELECT doc_id, coalesce(text, '') AS whole FROM documents))),
+        forms AS (SELECT doc_id, is_whole, sha256(form) AS digest
+                  FROM ({canonical("(SELECT *, unit = whole AS is_whole FROM parts)", "doc_id, is_whole")}) WHERE form <> ''),
+        found AS (
+            SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+                   count(DISTINCT digest) AS n_matches,
+                   string_agg(DISTINCT licence, ',' ORDER BY licence) FILTER (is_whole) AS whole_licences
+            FROM forms JOIN known_forms USING (digest) GROUP BY doc_id)
+        SELECT d.doc_id, licences, coalesce(n_matches, 0) AS n_matches, whole_licences
+        FROM documents d LEFT JOIN found USING (doc_id)"""
+
+
+@query("op2_license_scan", _license_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_texts(spark))
+
+
+SHARDS = 8
+
+
+@query("op3_sharding")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(content) + 1).cast("long").alias("size"), F.crc32(content).alias("text_crc32"))
+    return sharding.interleave(docs, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+@query("op5_source_mix", f"""
+    WITH RECURSIVE counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    means AS (
+        SELECT source, pow(n::DOUBLE, {mixing.TEMPERATURE}) / (SELECT sum(pow(n::DOUBLE, {mixing.TEMPERATURE})) FROM counts)
+                       * (SELECT sum(n) FROM counts) / n AS rate FROM counts),
+    steps AS (SELECT source, ceil(rate / {mixing.STEP})::BIGINT AS steps, rate / ceil(rate / {mixing.STEP}) AS mu FROM means),
+    cdf(source, mu, k, t, c) AS (
+        SELECT source, mu, 0, exp(-mu), exp(-mu) FROM steps
+        UNION ALL
+        SELECT source, mu, k + 1, t * mu / (k + 1), c + t * mu / (k + 1) FROM cdf WHERE k < ceil(mu + 12 * sqrt(mu) + 30)),
+    draws AS (
+        SELECT d.doc_id, j,
+               ('0x' || substr(md5('{mixing.SEED}:' || doc_id || ':' || j), 1, 13))::BIGINT / pow(2, 52) AS u, d.source
+        FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source, unnest(range(1, s.steps + 1)) r(j)),
+    copies AS (
+        SELECT doc_id, count(*) FILTER (u >= c)::INT AS n_copies
+        FROM draws JOIN cdf ON draws.source IS NOT DISTINCT FROM cdf.source GROUP BY doc_id)
+    SELECT d.*, r.copy::INT AS copy, n_copies
+    FROM documents d JOIN copies USING (doc_id), unnest(range(0, n_copies)) r(copy)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, mixing.temperature_weights(docs))
+
+
+@query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"))
+
+
+def _joined(spans: str):
+    names = F.array(*[F.lit(k) for k in (*pii.KINDS, *pii.TERM_KINDS)])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}")
+              for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
