@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import (bpe, exact_dedup, license_scan, mixing, pii, sharding, suffix_repetition,
+from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, sharding, suffix_repetition,
                             url_templates)
 from cohortline.llm.common import table
 
@@ -145,3 +145,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}")
               for i, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op6_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
