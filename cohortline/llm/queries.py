@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, sharding, suffix_repetition,
-                            url_templates)
+from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, quality_pu, sharding,
+                            suffix_repetition, url_templates)
 from cohortline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality_pu.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_pu.score(docs, network).select(
+        "doc_id", (quality_pu.fold("doc_id") == quality_pu.HELD_OUT).alias("held_out"), "score", "predicted")
