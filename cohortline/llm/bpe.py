@@ -48,8 +48,9 @@ UNASSIGNED = (
     "\\U000323B0-\\U00033479\\U0003D000-\\U0003FC3F"
 )
 
+SLICE = 500                # rows encoded at once
 BLOCK_CHARS = 1 << 20      # texts are pre-tokenized in blocks of about this size
-CACHE_ENTRIES = 400_000    # encoded pre-tokens, and as many words, kept per worker
+CACHE_ENTRIES = 120_000    # encoded pre-tokens, and as many words, kept per worker
 CACHE_CHARS = 48           # longer ones are not kept
 
 
@@ -198,6 +199,13 @@ def blocks(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Arrow batches in parts of SLICE rows, so few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
 _CODECS: dict[int, Codec] = {}
 
 
@@ -222,8 +230,8 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(spec)
-        for batch in batches:
-            yield pa.array([c.encode(t) for t in batch.to_pylist()], pa.binary())
+        for part in slices(batches):
+            yield pa.array([c.encode(t) for t in part.to_pylist()], pa.binary())
 
     out = without(docs, [n for n in ("token_ids", "n_tokens") if n != text])
     out = out.withColumn("token_ids", run(whole_text(text)))
@@ -237,8 +245,8 @@ def decode(tokens: DataFrame, vocab_path: str, ids: str = "token_ids") -> DataFr
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(spec)
-        for batch in batches:
-            yield pa.array([c.decode(b) for b in batch.to_pylist()], pa.string())
+        for part in slices(batches):
+            yield pa.array([c.decode(b) for b in part.to_pylist()], pa.string())
 
     return without(tokens, ["decoded"]).withColumn("decoded", run(F.coalesce(F.col(ids), F.lit(b""))))
 

@@ -6,20 +6,22 @@ signature of 64 minwise tokens. Method:
 
 1. ``TREES`` independent trees: the root of tree t selects one of the 64 token positions and
    sends each class to the child of its token there. A node of at most ``LEAF`` classes is a
-   leaf. A larger one selects ``BRANCHES`` further positions from a hash of its path, and
-   every class follows each of them, down to ``DEPTH`` levels. A pair of similarity 0.85 is
-   missed by all trees with probability below 1e-5.
-2. Leaves are compared exhaustively on signatures, inside sorted partitions. A node that is
-   still too large at the last level holds near copies that no token parts; it is cut into
-   blocks of at most ``LEAF`` that all contain the node's ``PIVOTS`` first members.
-   Round 1 keeps one partner for each class and leaf, the first one that is very similar or
-   else the most similar, so a group of m near copies gives m links and not m squared.
-3. Links are confirmed on the full sets of both texts, and joined to components.
-4. Round 2 compares the leaves again and confirms every remaining pair whose signatures could
-   reach the threshold and whose classes lie in different components. In an oversized node the
-   classes outside its main component meet every block. No pair is capped or skipped.
-
-Only classes with a partner have their texts shuffled for the confirmation.
+   leaf. A larger one selects one further position from a hash of its path, and half of such
+   nodes a second one; every class follows each, down to ``DEPTH`` levels. A pair of
+   similarity 0.85 meets in a leaf of some tree with probability above 1 - 1e-5 if the root
+   nodes are leaves, and above 1 - 1e-4 three levels further down.
+2. Leaves are compared exhaustively on signatures, inside sorted partitions. Classes whose
+   signatures could reach the threshold, directly or in a chain, form a unit; most trees find
+   the same units, which are kept once.
+3. A unit's members get their texts and are compared exhaustively on the full sets. Each unit
+   returns a spanning forest of its links (at most one link per member, so a group of m near
+   copies never gives m squared rows); links are joined to components.
+4. A node that is still too large at the last level holds near copies that no token parts. It
+   is cut into blocks that all contain the node's ``PIVOTS`` pivots, which tie the blocks
+   together. Afterwards its classes outside its largest component meet every block, chunk by
+   chunk. No pair is capped or skipped.
+
+Only classes with a possible partner have their texts shuffled.
 
 Defined results: null and empty texts and texts without words have an empty set and are
 linked with nothing; texts of fewer than five words are one shingle; rows that repeat an id
@@ -44,11 +46,10 @@ from cohortline.llm.components import components
 SHINGLE = 5
 THRESHOLD = 85             # percent of the union
 TOKENS = 64                # minwise tokens of a signature
-TREES, BRANCHES, DEPTH = 8, 2, 3
-LEAF, PIVOTS = 256, 8
+TREES, DEPTH = 8, 6
+LEAF, PIVOTS = 512, 8
 POSSIBLE = 40              # equal tokens of 64 below which 0.85 is out of the question (1e-5)
-VERY_SIMILAR = 58          # equal tokens that make a first partner good enough
-BLOCK = 8_192              # shingles per step of a signature
+BLOCK = 8_192              # shingles or pairs handled per step
 
 _SCRAMBLE = np.random.default_rng(20).integers(1 << 31, size=(TOKENS, 2), dtype=np.uint32)
 _XOR, _ODD = _SCRAMBLE[:, :1], (_SCRAMBLE[:, 1:] << np.uint32(1)) | np.uint32(1)
@@ -92,14 +93,40 @@ def _described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             [pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], ["n", "cls", "sig"])
 
 
-def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Whether the full shingle sets of two texts reach the threshold."""
-    out = []
-    for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
-        x, y = shingle_set(a), shingle_set(b)
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * common >= THRESHOLD * (len(x) + len(y) - common) and len(x) > 0)
-    return pa.array(out, pa.bool_())
+def _forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning forest of the links between full sets, all pairs compared."""
+    m = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    if m == 2:
+        common = np.array([[sizes[0], 0], [0, sizes[1]]])
+        common[0, 1] = common[1, 0] = len(np.intersect1d(*sets, assume_unique=True))
+    else:
+        owner = np.repeat(np.arange(m), sizes)
+        shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        often = np.bincount(shingle) > 1          # a shingle of one set is in no intersection
+        owner, shingle = owner[often[shingle]], shingle[often[shingle]]
+        shingle = (np.cumsum(often) - 1)[shingle]
+        common = np.zeros((m, m), np.int64)
+        order = np.argsort(shingle, kind="stable")
+        owner, shingle = owner[order], shingle[order]
+        for at in range(0, int(often.sum()), BLOCK):
+            lo, hi = np.searchsorted(shingle, (at, at + BLOCK))
+            has = np.zeros((m, BLOCK), np.float32)
+            has[owner[lo:hi], shingle[lo:hi] - at] = 1
+            common += np.rint(has @ has.T).astype(np.int64)
+    linked = 100 * common >= THRESHOLD * (sizes[:, None] + sizes[None, :] - common)
+    seen, out = np.zeros(m, bool), []
+    for root in range(m):
+        if seen[root]:
+            continue
+        seen[root], front = True, [root]
+        while front:
+            x = front.pop()
+            fresh = np.flatnonzero(linked[x] & ~seen)
+            seen[fresh] = True
+            front.extend(fresh)
+            out.extend((x, int(y)) for y in fresh)
+    return out
 
 
 def _token(sig: str, position: Column) -> Column:
@@ -122,9 +149,12 @@ def _grow(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         large = sized.filter(F.col("size") > LEAF).drop("size")
         if level == DEPTH - 1 or large.isEmpty():
             break
-        children = F.array(*[
-            F.xxhash64(F.col("node"), F.lit(j), _token("sig", F.pmod(F.xxhash64(F.lit(level), F.lit(j), "node"), F.lit(TOKENS))))
-            for j in range(BRANCHES)])
+        def child(j: int, level: int = level) -> Column:
+            position = F.pmod(F.xxhash64(F.lit(level), F.lit(j), "node"), F.lit(TOKENS))
+            return F.xxhash64(F.col("node"), F.lit(j), _token("sig", position))
+
+        second = F.pmod(F.xxhash64(F.lit("second"), "node"), F.lit(2)) == 0
+        children = F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))
         members = large.withColumn("node", F.explode(children))
     out = leaves[0]
     for more in leaves[1:]:
@@ -164,79 +194,95 @@ def _blocks(large: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return groups.select(F.xxhash64("node", "block", "chunk").alias("node"), *keep)
 
 
-def _compare(nodes: DataFrame, every: bool) -> DataFrame:
-    """Links (u, v) found on signatures inside each node, each node in one sorted stretch.
-
-    One partner per class, or every pair of classes of different labels."""
-    columns = ["node", "cls", "n", "sig"] + (["label"] if every else [])
+def _stretches(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted rows in tables that hold each key whole."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows])
+        if rows.num_rows:
+            keys = rows[key].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))   # the last key may go on
+            yield rows.slice(0, cut)
+            rows = rows.slice(cut)
+        rest = rows
+    if rest is not None:
+        yield rest
+
+
+def _units(nodes: DataFrame, apart: bool = False) -> DataFrame:
+    """(unit, cls): groups of possibly linked classes of each node; with ``apart`` only pairs
+    of different labels count."""
+    columns = ["node", "cls", "n", "sig"] + (["label"] if apart else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            batch = pa.Table.from_batches([batch])
-            if rest is not None:
-                batch = pa.concat_tables([rest, batch])
-            node = batch["node"].to_numpy()
-            cut = int(np.searchsorted(node, node[-1])) if len(node) else 0   # the last node may go on
-            rest = batch.slice(cut)
-            yield from _pairs(batch.slice(0, cut), every)
-        if rest is not None:
-            yield from _pairs(rest, every)
+        for rows in _stretches(batches, "node"):
+            yield from _node_units(rows, apart)
 
     ordered = nodes.select(*columns).repartition("node").sortWithinPartitions("node", "cls")
-    return ordered.mapInArrow(run, "u binary, v binary")
+    return ordered.mapInArrow(run, "unit bigint, cls binary").distinct()
 
 
-def _pairs(rows: pa.Table, every: bool) -> Iterator[pa.RecordBatch]:
+def _node_units(rows: pa.Table, apart: bool) -> Iterator[pa.RecordBatch]:
     m = rows.num_rows
     if m < 2:
         return
     node, n = rows["node"].to_numpy(), rows["n"].to_numpy()
     tokens = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint32).reshape(m, TOKENS)
+    label = np.unique(np.array(rows["label"].to_pylist(), object), return_inverse=True)[1] if apart else None
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     sizes = np.diff(np.r_[starts, m])
     left_in_node = np.repeat(starts + sizes, sizes) - np.arange(m)   # rows from here to the node's end
-    label = np.unique(np.array(rows["label"].to_pylist(), object), return_inverse=True)[1] if every else None
-    found = []
-    first, best, best_of = np.full(m, -1), np.zeros(m, np.int64), np.full(m, -1)
+    near, other = [], []
     at = np.arange(m)
     for d in range(1, int(sizes.max())):
         at = at[left_in_node[at] > d]
-        i = at
-        if every:
-            i = i[label[i] != label[i + d]]
+        i = at[label[at] != label[at + d]] if apart else at
         i = i[100 * np.minimum(n[i], n[i + d]) >= THRESHOLD * np.maximum(n[i], n[i + d])]
         for k in range(0, len(i), BLOCK):
             a = i[k: k + BLOCK]
-            b = a + d
-            equal = (tokens[a] == tokens[b]).sum(axis=1)
-            if every:
-                hit = equal >= POSSIBLE
-                found.append((a[hit], b[hit]))
-                continue
-            high = equal >= VERY_SIMILAR
-            first[b[high]] = a[high]                 # later d, smaller partner
-            more = (equal >= POSSIBLE) & (equal > best[b])
-            best[b[more]], best_of[b[more]] = equal[more], a[more]
-    if every:
-        if not found:
-            return
-        u, v = (np.concatenate(x) for x in zip(*found, strict=True))
-    else:
-        partner = np.where(first >= 0, first, best_of)
-        v = np.flatnonzero(partner >= 0)
-        u = partner[v]
-    if len(u):
-        cls = rows["cls"].combine_chunks()
-        yield pa.RecordBatch.from_arrays([cls.take(pa.array(u)), cls.take(pa.array(v))], ["u", "v"])
-
+            hit = (tokens[a] == tokens[a + d]).sum(axis=1) >= POSSIBLE
+            near.append(a[hit])
+            other.append(a[hit] + d)
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (near, other))
+    if not len(a):
+        return
+    root = np.arange(m)
+    while True:
+        least = np.minimum(root[a], root[b])
+        if (root[a] == least).all() and (root[b] == least).all():
+            break
+        np.minimum.at(root, a, least)
+        np.minimum.at(root, b, least)
+        root = root[root]
+    member = np.unique(np.concatenate([a, b]))
+    member = member[np.argsort(root[member], kind="stable")]
+    cls = rows["cls"].combine_chunks().take(pa.array(member))
+    names, group = cls.to_pylist(), root[member]
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+    unit = np.empty(len(member), np.int64)
+    for lo, hi in zip(edge[:-1], edge[1:]):   # equal members, equal unit, whatever the tree
+        unit[lo:hi] = np.uint64(xxhash.xxh3_64_intdigest(b"".join(names[lo:hi]))).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(unit), cls], ["unit", "cls"])
+
+
+def _links(units: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v): a spanning forest of the confirmed links in each unit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _stretches(batches, "unit"):
+            unit, cls = rows["unit"].to_numpy(), rows["cls"].to_pylist()
+            edge = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True]) if len(unit) else []
+            u, v = [], []
+            for lo, hi in zip(edge[:-1], edge[1:]):
+                sets = [shingle_set(t) for t in rows["__text"].slice(lo, hi - lo).to_pylist()]
+                for x, y in _forest(sets):
+                    u.append(cls[lo + x])
+                    v.append(cls[lo + y])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) of classes whose full sets reach the threshold."""
-    left = texts.select(F.col("cls").alias("u"), F.col("__text").alias("a"))
-    right = texts.select(F.col("cls").alias("v"), F.col("__text").alias("b"))
-    linked = F.arrow_udf(_linked, "boolean")
-    return pairs.join(left, "u").join(right, "v").filter(linked("a", "b")).select("u", "v")
+    ordered = units.join(texts, "cls").select("unit", "cls", "__text").repartition("unit").sortWithinPartitions("unit", "cls")
+    return ordered.mapInArrow(run, "u binary, v binary").distinct()
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -247,6 +293,15 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFr
                      ["__id", "__hash"]).groupBy("cls").agg(F.first("__text").alias("__text"))
 
 
+def _confirmed(units: DataFrame, classes: DataFrame, docs: DataFrame, text: str, id_col: str) -> DataFrame:
+    wanted = units.select("cls").distinct().join(classes, "cls")
+    return saved(_links(units, _texts(docs, wanted, text, id_col)))
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("cls"), F.col("root").alias("label"))
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: id, ``text_hash`` (xxhash64), ``n_shingles``, ``component_id``,
     ``kept`` (id = component_id)."""
@@ -260,23 +315,16 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         F.first("n").alias("n"), F.first("sig").alias("sig")))
 
     leaves, large = _grow(classes)
-    candidates = _compare(leaves, every=False).unionByName(_compare(_blocks(large), every=False))
-    candidates = saved(candidates.distinct())
-    wanted = candidates.select(F.explode(F.array("u", "v")).alias("cls")).distinct().join(classes, "cls")
-    texts = saved(_texts(docs, wanted, text, id_col))
-    links = saved(_confirmed(candidates, texts))
-    labels = saved(components(links)).select(F.col("node").alias("cls"), F.col("root").alias("label"))
-
-    # round 2: pairs of different components; a node of one component has none
-    named = leaves.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    mixed = named.groupBy("node").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 != l1")
-    rest = _compare(named.join(mixed.select("node"), "node"), every=True).unionByName(
-        _compare(_blocks(large, labels), every=True))
-    rest = saved(rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(
-        candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti"))
-    more = saved(_confirmed(rest, texts))
-    if not more.isEmpty():
-        labels = components(links.unionByName(more)).select(F.col("node").alias("cls"), F.col("root").alias("label"))
+    units = _units(leaves)
+    oversized = not large.isEmpty()
+    if oversized:
+        units = units.unionByName(_units(_blocks(large))).distinct()
+    links = _confirmed(saved(units), classes, docs, text, id_col)
+    if oversized:
+        more = _units(_blocks(large, _labels(links)), apart=True)
+        more = _confirmed(saved(more), classes, docs, text, id_col)
+        links = links.unionByName(more)
+    labels = _labels(links)
 
     named = classes.select("cls", F.col("first.id").alias("__first")).join(labels, "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
