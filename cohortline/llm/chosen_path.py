@@ -6,10 +6,12 @@ signature of 64 minwise tokens. Method:
 
 1. ``TREES`` independent trees: the root of tree t selects one of the 64 token positions and
    sends each class to the child of its token there. A node of at most ``LEAF`` classes is a
-   leaf. A larger one selects one further position from a hash of its path, and half of such
-   nodes a second one; every class follows each, down to ``DEPTH`` levels. A pair of
+   leaf. A larger one selects one further position from a hash of its path, and a quarter of
+   such nodes a second one, 1 / 0.8 on average, so the rows of a group of near copies neither
+   die out nor multiply; every class follows each, down to ``DEPTH`` levels. A pair of
    similarity 0.85 meets in a leaf of some tree with probability above 1 - 1e-5 if the root
-   nodes are leaves, and above 1 - 1e-4 three levels further down.
+   nodes are leaves, and about 1 - 1e-4 two levels further down; in a group that large a
+   document usually has many partners.
 2. Leaves are compared exhaustively on signatures, inside sorted partitions. Classes whose
    signatures could reach the threshold, directly or in a chain, form a unit; most trees find
    the same units, which are kept once.
@@ -46,8 +48,8 @@ from cohortline.llm.components import components
 SHINGLE = 5
 THRESHOLD = 85             # percent of the union
 TOKENS = 64                # minwise tokens of a signature
-TREES, DEPTH = 8, 6
-LEAF, PIVOTS = 512, 8
+TREES, DEPTH, SECOND = 8, 6, 4
+LEAF, PIVOTS = 1024, 8
 POSSIBLE = 40              # equal tokens of 64 below which 0.85 is out of the question (1e-5)
 BLOCK = 8_192              # shingles or pairs handled per step
 
@@ -133,33 +135,37 @@ def _token(sig: str, position: Column) -> Column:
     return F.substring(F.col(sig), (position * 4 + 1).cast("int"), F.lit(4))
 
 
+def _children(level: int) -> Column:
+    """Nodes that a class of an oversized node goes on to: one, of every SECOND-th node two."""
+    def child(j: int) -> Column:
+        position = F.pmod(F.xxhash64(F.lit(level), F.lit(j), "node"), F.lit(TOKENS))
+        return F.xxhash64(F.col("node"), F.lit(j), _token("sig", position))
+
+    two = F.pmod(F.xxhash64(F.lit("second"), "node"), F.lit(SECOND)) == 0
+    return F.when(two, F.array(child(0), child(1))).otherwise(F.array(child(0)))
+
+
 def _grow(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Leaves and oversized last-level nodes of all trees: (node, cls, n, sig) rows each."""
+    """Leaves and oversized last-level nodes of all trees: (node, cls, n, sig) rows each.
+
+    Between levels only (node, cls) rows travel; signatures join where they are read."""
+    pool = classes.select("cls", "n", "sig")
     roots = F.array(*[
         F.xxhash64(F.lit(t), _token("sig", F.lit(t * TOKENS // TREES))) for t in range(TREES)])
     members = classes.select("cls", F.explode(roots).alias("node"))
-    leaves = []
+    leaves = None
     for level in range(DEPTH):
         sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        sized = members.join(sizes, "node")
-        if level == 0:  # signatures join only where a class has company
-            sized = sized.join(classes.select("cls", "n", "sig"), "cls")
-        sized = saved(sized.select("node", "cls", "n", "sig", "size"))
-        leaves.append(sized.filter(F.col("size") <= LEAF).drop("size"))
-        large = sized.filter(F.col("size") > LEAF).drop("size")
+        sized = saved(members.join(sizes, "node").select("node", "cls", "size"))
+        leaf = sized.filter(F.col("size") <= LEAF).select("node", "cls")
+        leaves = leaf if leaves is None else leaves.unionByName(leaf)
+        large = sized.filter(F.col("size") > LEAF).select("node", "cls")
         if level == DEPTH - 1 or large.isEmpty():
             break
-        def child(j: int, level: int = level) -> Column:
-            position = F.pmod(F.xxhash64(F.lit(level), F.lit(j), "node"), F.lit(TOKENS))
-            return F.xxhash64(F.col("node"), F.lit(j), _token("sig", position))
-
-        second = F.pmod(F.xxhash64(F.lit("second"), "node"), F.lit(2)) == 0
-        children = F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))
-        members = large.withColumn("node", F.explode(children))
-    out = leaves[0]
-    for more in leaves[1:]:
-        out = out.unionByName(more)
-    return out, large
+        if level == 0:   # deeper levels hold no other classes
+            hot = saved(large.select("cls").distinct().join(pool, "cls"))
+        members = large.join(hot, "cls").select("cls", F.explode(_children(level)).alias("node"))
+    return leaves.join(pool, "cls"), large.join(pool, "cls")
 
 
 def _blocks(large: DataFrame, labels: DataFrame | None = None) -> DataFrame:
