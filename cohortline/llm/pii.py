@@ -1,14 +1,14 @@
 """Personal data: base patterns, and information-theoretic sanitisation of their context.
 
 Base spans (e-mail, IP address, card, phone) come from fixed patterns. The method then asks
-how strongly the words around a protected value give it away. Contexts are distinct lines,
-so copies of a document count once. For a value e that occurs in at least ``LEAST_LINES``
-distinct lines and a term t that shares at least as many lines with it,
+how strongly the words around a protected value give it away. Contexts are lines. For a
+value e that occurs in at least ``LEAST_LINES`` distinct lines (copies of a line count as one
+here) and a term t that shares at least as many distinct lines with it,
 
     disclosure(t; e) = PMI(t; e) / IC(e) = ln(n(t,e) N / (n(t) n(e))) / ln(N / n(e)),
 
 the part of the information content of e that t reveals, with n counted over all lines of
-all documents. Terms over ``REMOVE`` are removed, those over ``GENERALISE`` replaced by a
+all documents, copies included. Terms over ``REMOVE`` are removed, those over ``GENERALISE`` replaced by a
 placeholder, wherever they stand in a line with the value.
 
 All of it is DataFrame code. Values, lines and terms are counted with partial sums; the
@@ -122,27 +122,24 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFra
     """(value, term, action) of the terms that give a value away.
 
     ``contexts``: (value, line_hash, line), one row per value and line with it."""
-    lines = contexts.groupBy("value", "line_hash").agg(F.first("line").alias("line"))
-    lines = saved(lines)
-    of_value = lines.groupBy("value").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= LEAST_LINES)
-    shared = (
-        lines.join(of_value, "value")
-        .select("value", "n_e", F.explode(_terms(F.col("line"))).alias("term"))
-        .groupBy("value", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"))
-        .filter(F.col("n_te") >= LEAST_LINES)
+    lines = saved(contexts.groupBy("value", "line_hash").agg(F.first("line").alias("line"), F.count("*").alias("copies")))
+    of_value = lines.groupBy("value").agg(F.count("*").alias("lines"), F.sum("copies").alias("n_e")).filter(
+        F.col("lines") >= LEAST_LINES)
+    shared = saved(
+        lines.join(of_value.select("value", "n_e"), "value")
+        .select("value", "n_e", "copies", F.explode(_terms(F.col("line"))).alias("term"))
+        .groupBy("value", "term").agg(F.count("*").alias("lines"), F.sum("copies").alias("n_te"), F.first("n_e").alias("n_e"))
+        .filter(F.col("lines") >= LEAST_LINES).drop("lines")
     )
-    shared = saved(shared)
     wanted = shared.select("term").distinct()
     if wanted.count() <= BROADCAST_TERMS:
         wanted = F.broadcast(wanted)
-    all_lines = docs.select(F.explode(F.split(whole_text(text), "\n")).alias("line")).filter("line != ''").select(
-        "line", F.xxhash64("line").alias("line_hash"))
+    all_lines = docs.select(F.explode(F.split(whole_text(text), "\n")).alias("line")).filter("line != ''")
     of_term = (
-        all_lines.select("line_hash", F.explode(_terms(F.col("line"))).alias("term"))
-        .join(wanted, "term").groupBy("term", "line_hash").agg(F.lit(1).alias("one"))
-        .groupBy("term").agg(F.count("*").alias("n_t"))
+        all_lines.select(F.explode(_terms(F.col("line"))).alias("term"))
+        .join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_t"))
     )
-    total = all_lines.groupBy("line_hash").agg(F.lit(1).alias("one")).agg(F.count("*").alias("n"))
+    total = all_lines.agg(F.count("*").alias("n"))
     score = F.log(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e"))) / F.log(F.col("n") / F.col("n_e"))
     return (
         shared.join(of_term, "term").join(F.broadcast(total))
