@@ -18,6 +18,8 @@ an empty table stays empty.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,24 +95,44 @@ COPYRIGHT_LINE = "(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©|all rights reserved)[^
 SEPARATORS = "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0\u00b7\u2010-\u2015\u2018-\u201f\u2022\u2026]+"
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a whole text."""
-    out = F.translate(text, UPPER, LOWER)
-    rare = "|".join(p for p, _ in SPELLINGS)
-    unified = out
-    unified = F.regexp_replace(unified, F.lit("(?d)" + COPYRIGHT_LINE), F.lit(" "))
+# Substrings of which every copyright line or variant spelling has one.
+VARIANT_SIGNS = (
+    "copyright", "all rights reserved", "https://", "(c)", "©", "&", "licence", "sub-licen", "sub licen",
+    "acknowledgement", "non-infringement", "per cent", "version", "v. ", "analogue", "authorisation", "organisation",
+    "favour", "fulfilment", "programme", "wilful",
+)
+
+
+def _line_form(line: Column) -> Column:
+    """Canonical form of one line."""
+    out = F.translate(line, UPPER, LOWER)
+    unified = F.regexp_replace(out, F.lit("(?d)" + COPYRIGHT_LINE), F.lit(" "))
     for pattern, replacement in SPELLINGS:
         unified = F.regexp_replace(unified, F.lit(pattern), F.lit(replacement))
-    # most parts have none of the spellings: one test spares them the replacements
-    out = F.when(out.rlike(rare + "|copyright|all rights reserved"), unified).otherwise(out)
-    return F.trim(F.regexp_replace(out, F.lit(SEPARATORS), F.lit(" ")))
+    # most lines have none of the variants: plain searches spare them the replacements
+    some = reduce(lambda x, y: x | y, [F.contains(out, F.lit(sign)) for sign in VARIANT_SIGNS])
+    return F.trim(F.regexp_replace(F.when(some, unified).otherwise(out), F.lit(SEPARATORS), F.lit(" ")))
+
 
+def _joined(forms: Column) -> Column:
+    return F.array_join(F.filter(forms, lambda f: f != ""), " ")
 
-def digest(text: Column) -> Column:
-    form = canonical(text)
+
+def canonical_parts(text: Column) -> Column:
+    """Canonical lines of each paragraph of a text. No rule reaches over a line's end, so the
+    form of a paragraph or of the whole text is its lines' forms, joined by blanks."""
+    return F.transform(F.split(text, "\n[ \\t\\r]*\n"), lambda p: F.transform(F.split(p, "\n"), _line_form))
+
+
+def _digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(form.cast("binary"), 256))
 
 
+def canonical(text: Column) -> Column:
+    """Canonical form of a whole text."""
+    return _joined(F.flatten(canonical_parts(text)))
+
+
 def known_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "licence string, text string")
 
@@ -118,16 +140,18 @@ def known_texts(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: id, ``licences`` (sorted names, comma-joined, or null), ``n_matches``
     (distinct parts that are a known text), ``whole_licences`` (names of the whole text)."""
-    digests = known.select(digest(whole_text("text")).alias("__digest"), "licence").filter(
+    digests = known.select(canonical(whole_text("text")).alias("__form"), "licence").select(
+        _digest(F.col("__form")).alias("__digest"), "licence").filter(
         "__digest is not null").groupBy("__digest").agg(F.array_sort(F.collect_set("licence")).alias("__names"))
     if digests.count() <= BROADCAST_TEXTS:
         digests = F.broadcast(digests)
-    content = whole_text(text)
-    parts = F.array_distinct(F.concat(
-        F.array(content), F.split(content, "\n[ \\t\\r]*\n"), F.split(content, "\n")))
-    units = docs.select(
-        col(id_col).alias("__id"), content.alias("__whole"), F.explode(parts).alias("__part")
-    ).select("__id", (F.col("__part") == F.col("__whole")).alias("__is_whole"), digest(F.col("__part")).alias("__digest"))
+    forms = docs.select(col(id_col).alias("__id"), canonical_parts(whole_text(text)).alias("__parts")).select(
+        "__id", _joined(F.flatten("__parts")).alias("__whole"),
+        F.concat(F.transform("__parts", _joined), F.flatten("__parts")).alias("__forms"))
+    digests_of = forms.select("__id", _digest(F.col("__whole")).alias("__whole"), F.transform("__forms", _digest).alias("__forms"))
+    units = digests_of.select("__id", "__whole", F.explode(F.array_distinct(F.concat(
+        F.array("__whole"), "__forms"))).alias("__digest")).select(
+        "__id", "__digest", (F.col("__digest") == F.col("__whole")).alias("__is_whole"))
     found = (
         units.filter("__digest is not null").join(digests, "__digest")
         .groupBy("__id", "__digest").agg(F.max("__is_whole").alias("__is_whole"), F.first("__names").alias("__names"))
