@@ -1,0 +1,314 @@
+"""The training-data operators on small tables: nulls, empty and long texts, ties, repeated
+rows, empty tables and clashing columns, each against a brute-force statement of its rule."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, quality_pu, sharding,
+                            suffix_repetition, url_templates)
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts, schema=SCHEMA):
+    rows = [(i, t, "en", None if i % 7 == 0 else f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, schema)
+
+
+def words(rng, n, letters="abcdefgh"):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    long = words(rng, 20_000)
+    base = [None, "", " \n\t", "one", "a b c d e", long, long, "naïve café 😀 ￿", "<|endoftext|> x<|endoftext|>"]
+    base += [words(rng, rng.randint(1, 120)) for _ in range(40)]
+    near = base[-1].split() + words(rng, 200).split()
+    base += [" ".join(near), " ".join([*near[:100], "changed", *near[101:]]), " ".join(near).upper(), base[10], base[10]]
+    base += [" ".join(["same line of words repeated here again and again"] * 30), "x y z " * 60]
+    return base
+
+
+# ---- 1 exact dedup
+
+def test_exact_dedup(spark, texts):
+    docs = docs_of(spark, texts)
+    got = {r["doc_id"]: r for r in exact_dedup.mark(docs).collect()}
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(t or "", []).append(i)
+    for i, t in enumerate(texts):
+        g, r = groups[t or ""], got[i]
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (max(g), len(g), i == max(g))
+        assert r["text_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+    left = exact_dedup.dedup(docs.union(docs))      # repeated rows
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(max(g) for g in groups.values())
+
+
+def test_exact_dedup_small_filter_only_costs_false_alarms(spark, texts, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_BLOCKS", 1)
+    monkeypatch.setattr(exact_dedup, "BLOCK_BITS", 64)
+    docs = docs_of(spark, texts)
+    assert exact_dedup.dedup(docs).count() == len({t or "" for t in texts})
+
+
+# ---- 2 licence scan
+
+def test_license_scan(spark):
+    texts = [
+        "Released under the MIT License.", "RELEASED under the  MIT licence!", "Some prose.\nReleased under the MIT License.\nMore.",
+        "Copyright (c) 2020 A\nReleased under the MIT License.", "Not released under the MIT License.", None, "",
+        dict(license_scan.KNOWN)["ISC"].replace("\n", "  "),
+    ]
+    got = {r["doc_id"]: r for r in license_scan.scan(docs_of(spark, texts), license_scan.known_texts(spark)).collect()}
+    assert [got[i]["licences"] for i in range(8)] == ["MIT", "MIT", "MIT", "MIT", None, None, None, "ISC"]
+    assert [got[i]["whole_licences"] for i in range(8)] == ["MIT", "MIT", None, "MIT", None, None, None, "ISC"]
+
+
+# ---- 3 sharding
+
+def test_sharding_matches_the_mixture(spark):
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 11}", 7) for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, Shard int")
+    got = sharding.interleave(docs, 8).collect()
+    sizes = Counter(r["shard"] for r in got)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and len(got) == 4_000
+    for shard, n in sizes.items():
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(n))
+    sources = len({r["source"] for r in got})
+    for source in ("hot", None, "s5"):
+        per = Counter(r["shard"] for r in got if r["source"] == source)
+        total = sum(per.values())
+        # a cut by count lies within (sources / 2) / 4000 of its fractional rank, on both sides
+        assert all(abs(per[s] - total / 8) <= 1 + total * sources / 4_000 for s in range(8))
+
+
+# ---- 4 quality classifier
+
+def test_quality_classifier_held_out_accuracy(spark):
+    path = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    network = quality_pu.fit(docs, labels)
+    scored = quality_pu.score(docs, network).join(labels, "doc_id").filter(quality_pu.fold("doc_id") == 0).collect()
+    right = np.mean([r["predicted"] == r["quality"] for r in scored])
+    assert right > 0.97 and all(0 <= r["score"] <= 1 for r in scored)
+
+
+def test_quality_classifier_without_labels(spark, texts):
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r["score"] for r in quality_pu.score(docs, quality_pu.fit(docs, labels)).collect()} == {0.5}
+
+
+# ---- 5 mixing
+
+def test_mixing_rates_and_repeats(spark):
+    rows = [(i, f"t{i}", "a" if i % 4 else "b") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("none", 5.0)], "source string, weight double")
+    got = mixing.mix(docs, weights).collect()
+    per = Counter(r["source"] for r in got)
+    assert abs(per["a"] - 1_000) < 160 and abs(per["b"] - 3_000) < 280      # 5 standard deviations
+    copies = Counter(r["doc_id"] for r in got)
+    assert all(copies[r["doc_id"]] == r["n_copies"] for r in got)
+    again = Counter(r["doc_id"] for r in mixing.mix(docs.repartition(7), weights).collect())
+    assert again == copies
+    large = mixing.mix(docs.limit(8), weights, rows=4_000).collect()          # rates over one step
+    assert 3_500 < len(large) < 4_500
+
+
+# ---- 6 near duplicates
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def brute_components(texts):
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    return {i: (len(s), root[i], root[i] == i) for i, s in enumerate(sets)}
+
+
+def family(rng, n):
+    """Copies of one text with one to six changed words: similarities on both sides of 0.85."""
+    base = words(rng, 150).split()
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(len(w))] = words(rng, 1)
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("leaf", [1024, 8])
+def test_near_duplicates_match_brute_force(spark, texts, monkeypatch, leaf):
+    monkeypatch.setattr(chosen_path, "LEAF", leaf)   # 8: nodes branch, the last level is cut into blocks
+    monkeypatch.setattr(chosen_path, "DEPTH", 2)
+    docs_texts = texts + family(random.Random(9), 60) + [family(random.Random(9), 1)[0]] * 5
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
+           for r in chosen_path.link(docs_of(spark, docs_texts)).collect()}
+    assert got == brute_components(docs_texts)
+
+
+# ---- 7 URL templates
+
+def test_urls_and_rules(spark):
+    urls = [None, "no scheme", "http://X.Example.ORG/en/12?a#b", "http://example.org/es/1", "http://a.com/fr/1", "http://a.com/de/1",
+            "http://acom/de/1", "https://h.net", "http://h.net?x=/a", "ftp://casino-x.net/a", "ftp://casino-x.net/b"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_templates.judge(pages).collect()}
+    assert got[0] == ("", "", None, "allow") and got[1] == ("", "", None, "allow")
+    assert got[2] == ("x.example.org", "/en/12", "example.org/en/1", "block")
+    assert got[3] == ("example.org", "/es/1", "example.org/es/", "block")
+    assert got[4][2:] == ("com/fr/", "allow") and got[5][2:] == ("com/de/", "block") and got[6][2] is None
+    assert got[7][:2] == ("h.net", "") and got[8][:2] == ("h.net", "")
+    assert got[9][3] == "block"
+
+
+def test_url_templates_reject_bad_branch(spark):
+    rows = [(i, f"http://h.net/{'bad' if i % 2 else 'good'}/{i}") for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = pages.select("page_id", ((pages["page_id"] % 2) == 0).cast("int").alias("good")).filter("page_id < 100")
+    got = url_templates.judge(pages, rules=(), labels=labels).collect()
+    assert {(r["template"], r["verdict"]) for r in got} == {
+        ("h.net/bad/{number}", "block"), ("h.net/good/{number}", "allow")}
+
+
+# ---- 8 personal data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(d):
+    doubled = [int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))]
+    return sum(doubled) % 10 == 0
+
+
+def brute_spans(t):
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(t)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(t) if all(int(p) <= 255 for p in m.group().split("."))]
+    out += [(m.start(), 2, m.end()) for m in CARD.finditer(t) if 14 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(t) if 10 <= len(digits(m)) <= 15]
+    return sorted(out)
+
+
+def test_personal_data_base_spans(spark):
+    rng = random.Random(5)
+    parts = ["a@b.com", " ", "1", "+1 (555) 123-4567", "4111111111111111", "4111 1111-1111 1111", ".", "é", "😀", "@", "x", "b.c",
+             "192.168.1.1", "256.1.1.1", "1.2.3.4.5.6.7.8", "%", "-", "\n", "0000255", "()", "+", "12345678901234567890", "--"]
+    texts = [None, "", "a@" * 2000 + "b.c", "1 " * 20_000, "x" * 100_000, "a@b" + ".c" * 20_000]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(600)]
+    for r in pii.detect(docs_of(spark, texts)).collect():
+        assert [tuple(s) for s in r["base"]] == brute_spans(texts[r["doc_id"]] or "")
+
+
+def test_personal_data_disclosing_terms(spark):
+    lines = [f"Contact Zorblax at zor@x.com about topic{i}" for i in range(6)]
+    rng = random.Random(2)
+    filler = [" ".join(rng.choice(["contact", "about", "at", "the", "zor", "word"]) for _ in range(9)) for _ in range(300)]
+    docs = docs_of(spark, lines + filler)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert clean[0] == "Contact  at <email> about topic0"
+    assert all(clean[6 + i] == t for i, t in enumerate(filler))
+
+
+# ---- 9 quality rules
+
+def brute_rules(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    hit = {k for i in range(len(w) - 2) if windows[tuple(w[i:i + 3])] > 1 for k in range(i, i + 3)}
+    failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(hit), failed
+
+
+def test_quality_rules(spark, texts):
+    docs = docs_of(spark, texts).withColumnRenamed("lang", "Kept")     # a clashing column
+    for r in suffix_repetition.rules(docs).collect():
+        t = texts[r["doc_id"]] or ""
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == brute_rules(t)
+        assert sum(s["end"] - s["start"] for s in r["spans"]) == r["covered_words"]
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_longest_repeats_match_brute_force():
+    rng = random.Random(3)
+    for _ in range(200):
+        w = [rng.randint(0, rng.choice([1, 2, 5])) for _ in range(rng.randint(0, 40))]
+        best = [max([0] + [next(k for k in range(len(w) + 1) if i + k >= len(w) or j + k >= len(w) or w[i + k] != w[j + k])
+                           for j in range(len(w)) if j != i]) for i in range(len(w))]
+        assert suffix_repetition.longest_repeats(np.array(w, np.int64)).tolist() == best
+
+
+# ---- 10 byte-pair encoding
+
+def test_bpe_equals_the_library_and_round_trips(spark, texts):
+    library = Tokenizer.from_file(VOCABULARY)
+    docs = docs_of(spark, texts).withColumnRenamed("lang", "N_Tokens")
+    for r in bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect():
+        t = texts[r["doc_id"]] or ""
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert bpe.token_array(bytes(r["token_ids"])) == ids and r["n_tokens"] == len(ids) and r["decoded"] == t
+
+
+def test_bpe_of_random_strings():
+    library, codec = Tokenizer.from_file(VOCABULARY), bpe.Codec(open(VOCABULARY, encoding="utf-8").read())
+    rng = random.Random(1)
+    parts = ["a", "b", " ", "  ", "\n", "\t", " ", "\xa0", "1", "٣", "é", "中", "࢏", "\U00031350", "'s", "'LL",
+             "<|endoftext|>", "!", "..", "\x1c", "\x85", "​", "😀", "\r\n", "the", "ing"]
+    for _ in range(3_000):
+        s = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        ids = library.encode(s, add_special_tokens=False).ids
+        assert bpe.token_array(codec.encode(s)) == ids
+        assert codec.decode(codec.encode(s)) == library.decode(ids, skip_special_tokens=False)
+
+
+# ---- empty tables
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    pages = spark.createDataFrame([], "page_id long, url string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    for out in (
+        exact_dedup.mark(docs), exact_dedup.dedup(docs), license_scan.scan(docs, license_scan.known_texts(spark)),
+        sharding.interleave(docs, 8), quality_pu.score(docs, quality_pu.fit(docs, labels)),
+        mixing.mix(docs, mixing.temperature_weights(docs)), chosen_path.link(docs), chosen_path.dedup(docs),
+        url_templates.judge(pages), pii.detect(docs), pii.sanitise(docs), suffix_repetition.rules(docs),
+        bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY),
+    ):
+        assert out.count() == 0
+
+
+def test_shard_query_digests(spark):
+    import __spark_entry__ as entry
+    path = "/root/testdata/sf0.001"
+    text = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    for r in entry.queries()["op3_sharding"](spark, path).collect():
+        data = text[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
