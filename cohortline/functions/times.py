@@ -15,9 +15,9 @@ STRFTIME_TO_SPARK = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm
 # a full-match pattern guards the cast, so both accept and reject the same strings
 # (the cast alone is lenient: it also takes "2021-03-14" for the first one).
 FAST_FORMATS = {
-    "%Y-%m-%d %H:%M:%S": r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
-    "%Y-%m-%d": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-    "%Y": r"^[0-9]{4}$",
+    "%Y-%m-%d %H:%M:%S": r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z",
+    "%Y-%m-%d": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z",
+    "%Y": r"^[0-9]{4}\z",
 }
 
 

@@ -29,19 +29,22 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "cohortline") -> SparkSession:
-    """Local or cluster session with the engine's settings; UI off (no server)."""
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                app: str = "cohortline") -> SparkSession:
+    """Local or cluster session with the engine's settings; UI off (no server). The number of
+    shuffle partitions is the user's or Spark's own unless one is given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("COHORTLINE_DRIVER_MEMORY", "8g"))
         # checkpoint files of released DataFrames are removed from the shared folder
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -87,6 +90,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             current = tempfile.mkdtemp(prefix="cohortline-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

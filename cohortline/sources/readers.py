@@ -65,6 +65,9 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Dat
             current = current_types[f.name]
             if current == f.dataType:
                 cols.append(src.alias(f.name))
+            elif isinstance(f.dataType, T.StringType) and isinstance(current, (T.TimestampType, T.TimestampNTZType)):
+                # declared text times are whole seconds; a fraction must not lose the event
+                cols.append(F.date_format(src, "yyyy-MM-dd HH:mm:ss").alias(f.name))
             elif isinstance(f.dataType, T.StringType):
                 cols.append(src.cast("string").alias(f.name))
             else:
@@ -77,9 +80,10 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Dat
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             infer: bool = False, multiline: bool = False) -> DataFrame:
+             infer: bool = False, multiline: bool = True) -> DataFrame:
     """CSV with header; ``"`` escapes ``"`` (T6). Text columns unless a schema is
-    declared (cast by name) or ``infer`` asks for an inference pass."""
+    declared (cast by name) or ``infer`` asks for an inference pass. Quoted fields may
+    hold newlines; ``multiline=False`` gives that up and lets a plain file be split."""
     reader = (spark.read.option("header", "true").option("escape", '"')
               .option("multiLine", "true" if multiline else "false"))
     if schema is None and infer:

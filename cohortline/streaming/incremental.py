@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cohortline.operators.events import extract_events
 from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import RAW
-from cohortline.session import checkpoint_dir, ensure_conf
+from cohortline.session import ensure_conf
 
 
 def stream_table_events(spark: SparkSession, landed_dir: str, prefix: str, output_dir: str,
@@ -31,8 +31,8 @@ def stream_table_events(spark: SparkSession, landed_dir: str, prefix: str, outpu
 
     ``landed_dir/<prefix>.parquet`` is the folder new Parquet files land in (see
     the landing sink); ``prepare`` adds preparation columns (e.g. a static
-    discharge-time lookup joined to the stream). The checkpoint defaults to a
-    folder under the session's shared checkpoint directory.
+    discharge-time lookup joined to the stream). The checkpoint defaults to
+    ``_checkpoints`` in the output folder.
     """
     ensure_conf(spark)
     source = f"{landed_dir.rstrip('/')}/{prefix}.parquet"
@@ -43,7 +43,8 @@ def stream_table_events(spark: SparkSession, landed_dir: str, prefix: str, outpu
     if prepare is not None:
         stream = prepare(stream)
     events = extract_events(stream, spec[prefix])
-    ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{prefix.replace('/', '_')}"
+    # beside the output, so a later session goes on where this one stopped
+    ckpt = checkpoint_location or f"{output_dir.rstrip('/')}/_checkpoints/{prefix.replace('/', '_')}"
     return (events.writeStream.format("parquet")
             .option("path", f"{output_dir.rstrip('/')}/{prefix}")
             .option("checkpointLocation", ckpt)

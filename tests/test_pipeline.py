@@ -269,3 +269,34 @@ def test_cohort_schema(spark, built):
     assert codes["code"] == "string" and codes["description"] == "string"
     assert codes["parent_codes"] == "array<string>"
     assert dict(spark.read.parquet(paths["splits"]).dtypes) == {"subject_id": "bigint", "split": "string", "shard": "int"}
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "8400", "-1"])
+def test_every_shard_path_keeps_all_events_of_a_seeded_map(spark, threshold):
+    from cohortline.operators import subjects as ops
+
+    events = spark.range(3_000).select((F.col("id") % 150).cast("long").alias("subject_id"), F.col("id").alias("value"))
+    splits = ops.assign_shards(events.select("subject_id").distinct(), 50, seed=7)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = ops.attach_shards(events, splits, shard_rows=150, seed=7, n_per_shard=50)
+        wanted = events.join(splits, "subject_id").select("subject_id", "value", "split", "shard")
+        assert got.count() == 3_000
+        assert got.select(*wanted.columns).exceptAll(wanted).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_csv_quoted_newlines_and_fractional_times(spark, tmp_path):
+    from cohortline.functions.times import parse_time
+    from cohortline.sources.readers import conform, read_csv
+
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"x\ny"\n2,z\n')
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [("1", "x\ny"), ("2", "z")]
+    times = spark.sql("SELECT TIMESTAMP_NTZ '2150-01-01 01:02:03.5' AS t")
+    text = conform(times, spark.createDataFrame([], "t string").schema)
+    assert text.select(parse_time(F.col("t"), "%Y-%m-%d %H:%M:%S").alias("t")).first()["t"] is not None
+    ended = spark.createDataFrame([("2150-01-01\n",), ("2150-01-01",)], "t string")
+    assert [r["t"] is None for r in ended.select(parse_time(F.col("t"), "%Y-%m-%d").alias("t")).collect()] == [True, False]
