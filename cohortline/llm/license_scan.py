@@ -104,14 +104,13 @@ VARIANT_SIGNS = (
 
 
 def _line_form(line: Column) -> Column:
-    """Canonical form of one line."""
-    out = F.translate(line, UPPER, LOWER)
-    unified = F.regexp_replace(out, F.lit("(?d)" + COPYRIGHT_LINE), F.lit(" "))
+    """Canonical form of one line in lower case."""
+    unified = F.regexp_replace(line, F.lit("(?d)" + COPYRIGHT_LINE), F.lit(" "))
     for pattern, replacement in SPELLINGS:
         unified = F.regexp_replace(unified, F.lit(pattern), F.lit(replacement))
     # most lines have none of the variants: plain searches spare them the replacements
-    some = reduce(lambda x, y: x | y, [F.contains(out, F.lit(sign)) for sign in VARIANT_SIGNS])
-    return F.trim(F.regexp_replace(F.when(some, unified).otherwise(out), F.lit(SEPARATORS), F.lit(" ")))
+    some = reduce(lambda x, y: x | y, [F.contains(line, F.lit(sign)) for sign in VARIANT_SIGNS])
+    return F.trim(F.regexp_replace(F.when(some, unified).otherwise(line), F.lit(SEPARATORS), F.lit(" ")))
 
 
 def _joined(forms: Column) -> Column:
@@ -121,7 +120,8 @@ def _joined(forms: Column) -> Column:
 def canonical_parts(text: Column) -> Column:
     """Canonical lines of each paragraph of a text. No rule reaches over a line's end, so the
     form of a paragraph or of the whole text is its lines' forms, joined by blanks."""
-    return F.transform(F.split(text, "\n[ \\t\\r]*\n"), lambda p: F.transform(F.split(p, "\n"), _line_form))
+    lower = F.translate(text, UPPER, LOWER)
+    return F.transform(F.split(lower, "\n[ \\t\\r]*\n"), lambda p: F.transform(F.split(p, "\n"), _line_form))
 
 
 def _digest(form: Column) -> Column:
