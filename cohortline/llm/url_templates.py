@@ -128,7 +128,7 @@ def templates(paths: DataFrame) -> DataFrame:
         rare = (F.col("kids") > MANY_CHILDREN) & (F.col("c_n") < RARE_SHARE * F.col("a_n"))
         name = F.when(F.col(f"s{d}") == "", "").when(rare, "*").when(alike, "~").otherwise(F.col(f"s{d}"))
         decided = children.join(nodes, node).select(*node, f"s{d}", name.alias(f"t{d}"))
-        table = table.join(decided, [*node, f"s{d}"])
+        table = saved(table.join(decided, [*node, f"s{d}"]))   # else each level triples the plan
     template = F.concat_ws("/", "host", F.array_join(F.filter(
         F.array(*[F.col(f"t{i}") for i in range(DEPTH)]), lambda s: s != ""), "/"))
     table = table.withColumn("template", template)
