@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,17 @@ def saved(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def by_bytes(batches: Iterator[pa.Array], most: int) -> Iterator[pa.Array]:
+    """Arrow batches of texts in parts of at most ``most`` bytes (a longer text is a part of
+    its own), so that only a part at a time becomes Python objects."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at, done = 0, 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield batch.slice(at, to - at)
+            at, done = to, int(ends[to - 1])
+        if not len(batch):
+            yield batch

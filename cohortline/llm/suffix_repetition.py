@@ -8,8 +8,8 @@ substring that occurs elsewhere in the text; the union of these stretches is the
 all maximal repeated substrings. A text is rejected if the union covers too much of it or if
 its longest repeat is too long.
 
-Texts are judged one by one, in Arrow batches, a few hundred thousand words at a time;
-nothing is shuffled and no state outlives a batch.
+Texts are judged one by one, in parts of Arrow batches of a few megabytes, so that only the
+words of one part are Python objects at once; nothing is shuffled and no state outlives a part.
 
 Defined results: a null text counts as empty; a text without words has zero counts, no
 spans and ``covered`` 0; long texts are taken whole; repeated rows are judged alike; an
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import whole_text, without
+from cohortline.llm.common import by_bytes, whole_text, without
 
 # White space between words, and the symbols that are counted.
 WHITE_SPACE = " \t\n\v\f\r"
@@ -38,6 +38,7 @@ MIN_REPEAT = 8               # shortest repeated substring of the method's verdi
 MAX_COVERED = 0.30           # largest part of the words that such substrings may cover
 MAX_LONGEST = 0.20           # largest part of the words that the longest one may take
 BLOCK_WORDS = 400_000        # words sorted at once (a longer text is sorted alone)
+PART_BYTES = 2 << 20         # bytes of text split into words at once (a longer text is split alone)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")
 SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
@@ -189,8 +190,8 @@ def rules(docs: DataFrame, text: str = "text", *, min_repeat: int = MIN_REPEAT,
 
     @F.arrow_udf(RESULT_DDL_TYPE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield judge(batch.to_pylist(), min_repeat)
+        for part in by_bytes(batches, PART_BYTES):
+            yield judge(part.to_pylist(), min_repeat)
 
     added = [*COUNTS, "spans", "base_failed", "kept"]
     names = [n for n in added if n.lower() != text.lower()]
