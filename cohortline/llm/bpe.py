@@ -50,7 +50,7 @@ UNASSIGNED = (
 
 SLICE = 500                # rows encoded at once
 BLOCK_CHARS = 1 << 20      # texts are pre-tokenized in blocks of about this size
-CACHE_ENTRIES = 300_000    # encoded pre-tokens, and as many words, kept per worker
+CACHE_ENTRIES = 200_000    # encoded pre-tokens, and as many words, kept per worker
 CACHE_CHARS = 48           # longer ones are not kept
 
 
