@@ -35,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import col, whole_text, without
+from cohortline.llm.common import by_bytes, col, whole_text, without
 
 SAMPLE = 15_000            # positives, and unlabelled documents, used for training at most
 FOLDS, HELD_OUT = 5, 0     # documents of fold HELD_OUT never train
 THRESHOLD = 0.3
+PART_BYTES = 8 << 20       # bytes of text that are Python objects at once (a longer text alone)
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 24, 40, 512, 3e-3, 1e-4
 SEED = 11
 
@@ -75,8 +76,8 @@ N_FEATURES = len(features(""))
 
 
 def _features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in texts:
-        yield pa.array([features(t) for t in batch.to_pylist()], pa.list_(pa.float64()))
+    for part in by_bytes(texts, PART_BYTES):
+        yield pa.array([features(t) for t in part.to_pylist()], pa.list_(pa.float64()))
 
 
 @dataclass
@@ -187,11 +188,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 def score(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
     """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from THRESHOLD on)."""
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            if network is None or not len(batch):
-                yield pa.array(np.full(len(batch), 0.5))
+        for part in by_bytes(texts, PART_BYTES):
+            if network is None or not len(part):
+                yield pa.array(np.full(len(part), 0.5))
             else:
-                yield pa.array(network.score(np.array([features(t) for t in batch.to_pylist()])))
+                yield pa.array(network.score(np.array([features(t) for t in part.to_pylist()])))
 
     names = [n for n in ("score", "predicted") if n != text]
     return without(docs, names).withColumn("score", F.arrow_udf(run, "double")(whole_text(text))).withColumn(
