@@ -14,6 +14,7 @@ import logging
 
 from cohortline.operators.subjects import DEFAULT_SEED, SUBJECTS_PER_SHARD
 from cohortline.plans import etl
+from cohortline.plans.event_spec import EVENTS
 from cohortline.session import get_session
 
 
@@ -32,14 +33,20 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--cohort-strategy", default="dedupe_then_range",
                         choices=["dedupe_then_range", "range_only"],
                         help="exchanges of the cohort write (see operators/cohort.finalize)")
+    parser.add_argument("--events", default=None, metavar="FILE",
+                        help="JSON event specification in place of the built-in one (table -> event -> fields)")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     if args.subjects_per_shard < 1:
         parser.error("--subjects-per-shard must be a positive integer")
+    spec = EVENTS
+    if args.events:
+        with open(args.events, encoding="utf-8") as f:
+            spec = json.load(f)
     spark = get_session(args.master)
     paths = etl.run(spark, args.input_dir, args.output_dir, dataset_name=args.dataset_name,
-                    dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard,
+                    dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard, spec=spec,
                     cohort_strategy=args.cohort_strategy)
     print(json.dumps(paths))
     return paths

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortline.functions.codes import code_column, column_ref
 from cohortline.functions.times import parse_time, static_time
@@ -20,13 +21,11 @@ from cohortline.schemas import CORE_COLUMNS, EVENT_COLUMNS, EVENT_TYPES
 
 
 def value_columns(events: dict[str, dict]) -> list[str]:
-    """Output columns the given events fill, in the declared output order."""
+    """Output columns the given events fill, in the declared output order; columns that
+    only a user's own specification names come last, by name."""
     used = {k for ev in events.values() for k in ev if k not in RESERVED_KEYS}
-    unknown = used - set(EVENT_TYPES)
-    if unknown:
-        raise ValueError(f"value columns without a declared type: {sorted(unknown)}")
     core = {n for n, _ in CORE_COLUMNS}
-    return [n for n, _ in EVENT_COLUMNS if n in used or n in core]
+    return [n for n, _ in EVENT_COLUMNS if n in used or n in core] + sorted(used - set(EVENT_TYPES))
 
 
 def _typed(types: dict, ref: str, target) -> Column:
@@ -78,7 +77,7 @@ def event_struct(types: dict, ev: dict, columns: list[str], parsed: dict[tuple,
         keep = keep & time.isNotNull()
     fields: list[Column] = []
     for name in columns:
-        target = EVENT_TYPES[name]
+        target = EVENT_TYPES.get(name, T.StringType())
         if name == "subject_id":
             value = _typed(types, SUBJECT_ID_COL, target)
         elif name == "time":
@@ -91,9 +90,13 @@ def event_struct(types: dict, ev: dict, columns: list[str], parsed: dict[tuple,
     return F.struct(*fields, keep.alias("_keep"))
 
 
-def extract_events(df: DataFrame, events: dict[str, dict]) -> DataFrame:
-    """All ``events`` of one table, from one scan of ``df``."""
-    columns = value_columns(events)
+def extract_events(df: DataFrame, events: dict[str, dict], columns: list[str] | None = None) -> DataFrame:
+    """All ``events`` of one table, from one scan of ``df``.
+
+    ``columns`` names the output columns that are wanted (all by default). Nothing can be
+    pruned through the generator, so the others are not built and not read."""
+    wanted = value_columns(events)
+    columns = wanted if columns is None else [c for c in wanted if c in columns]
     schema = df.schema  # one JVM round trip; DataFrame.schema is not cached
     names = frozenset(schema.names)
     parsed: dict[tuple, str] = {}

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from cohortline.functions.codes import CODE_SEPARATOR, NULL_PART, code_parts, column_ref
 from cohortline.operators.events import value_columns
-from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import EVENT_TYPES
 from pyspark.sql import types as T
 
@@ -41,17 +40,17 @@ SELECT CASE WHEN p_partkey % 5 = 0 THEN 'E' WHEN p_partkey % 5 = 1 THEN 'V' ELSE
 FROM part""",
     "labevents": """
 SELECT user_id AS subject_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id END AS hadm_id,
- 51000 + event_id % 20 AS itemid, CAST(date_trunc('second', ts) AS VARCHAR) AS charttime,
+ 51000 + event_id % 20000 AS itemid, CAST(date_trunc('second', ts) AS VARCHAR) AS charttime,
  CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(date_trunc('second', ts) + INTERVAL '1' HOUR AS VARCHAR) END AS storetime,
  CAST(props AS VARCHAR) AS value, value AS valuenum,
  CASE WHEN event_id % 20 < 5 THEN NULL ELSE 'mg/dL' END AS valueuom, event_type AS priority
 FROM events""",
     "d_labitems_to_loinc": """
 SELECT CAST(51000 + p_partkey AS VARCHAR) AS "itemid (omop_source_code)",
- CASE WHEN p_partkey < 5 THEN NULL ELSE 'mg/dL' END AS valueuom,
+ CASE WHEN p_partkey % 20 < 5 THEN NULL ELSE 'mg/dL' END AS valueuom,
  p_brand AS label, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END AS omop_concept_name,
  'LOINC' AS omop_vocabulary_id, p_type AS omop_concept_code
-FROM part WHERE p_partkey < 20""",
+FROM part""",
     "inputevents": """
 SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_suppkey AS stay_id, l_partkey AS itemid,
  CAST(l_shipdate AS VARCHAR) AS starttime, CAST(l_shipdate + INTERVAL '2' HOUR AS VARCHAR) AS endtime,
@@ -183,7 +182,3 @@ def events_sql(source_view: str, events: dict[str, dict], columns: list[str] | N
             fields.append(f"{expr} AS {col}")
         selects.append(f"SELECT {', '.join(fields)} FROM {source_view} WHERE {keep}")
     return "\nUNION ALL\n".join(selects)
-
-
-def table_events_sql(table: str, view: str, columns: list[str] | None = None) -> str:
-    return events_sql(view, EVENTS[table], columns)

@@ -21,6 +21,7 @@ from cohortline.operators import metadata as meta_ops
 from cohortline.operators import prepare as prep_ops
 from cohortline.operators import subjects as subject_ops
 from cohortline.operators.events import extract_events
+from cohortline.operators.joins import union_all
 from cohortline.plans import oracle as O
 from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import EVENT_COLUMNS, RAW, SPLITS_SCHEMA
@@ -61,15 +62,15 @@ def _prepared_diagnoses(spark, d):
     return prep_ops.add_discharge_time(fx.diagnoses_icd(spark, d), fx.admissions(spark, d))
 
 
-def _table_events(spark, d) -> dict[str, DataFrame]:
+def _table_events(spark, d, columns=None) -> dict[str, DataFrame]:
     """Events of every fixture table, each from one scan of its (prepared) table."""
     return {
-        "hosp/admissions": extract_events(fx.admissions(spark, d), EVENTS["hosp/admissions"]),
-        "hosp/diagnoses_icd": extract_events(_prepared_diagnoses(spark, d), EVENTS["hosp/diagnoses_icd"]),
-        "hosp/labevents": extract_events(fx.labevents(spark, d), EVENTS["hosp/labevents"]),
-        "hosp/patients": extract_events(_prepared_patients(spark, d), EVENTS["hosp/patients"]),
-        "icu/inputevents": extract_events(fx.inputevents(spark, d), EVENTS["icu/inputevents"]),
-        "hosp/omr": extract_events(fx.omr(spark, d), EVENTS["hosp/omr"]),
+        "hosp/admissions": extract_events(fx.admissions(spark, d), EVENTS["hosp/admissions"], columns),
+        "hosp/diagnoses_icd": extract_events(_prepared_diagnoses(spark, d), EVENTS["hosp/diagnoses_icd"], columns),
+        "hosp/labevents": extract_events(fx.labevents(spark, d), EVENTS["hosp/labevents"], columns),
+        "hosp/patients": extract_events(_prepared_patients(spark, d), EVENTS["hosp/patients"], columns),
+        "icu/inputevents": extract_events(fx.inputevents(spark, d), EVENTS["icu/inputevents"], columns),
+        "hosp/omr": extract_events(fx.omr(spark, d), EVENTS["hosp/omr"], columns),
     }
 
 
@@ -77,6 +78,12 @@ def _cohort_events(spark, d) -> DataFrame:
     return cohort_ops.union_events(list(_table_events(spark, d).values()))
 
 
+def _cohort_codes(spark, d) -> DataFrame:
+    """Distinct codes of every table, deduplicated per table before the union."""
+    frames = [meta_ops.observed_codes(e) for e in _table_events(spark, d, ["code"]).values()]
+    return meta_ops.observed_codes(union_all(frames))
+
+
 def _subjects(spark, d) -> DataFrame:
     frames = [fx.RAW_FIXTURES[p](spark, d) for p in
               ("hosp/admissions", "hosp/patients", "hosp/diagnoses_icd", "hosp/labevents", "icu/inputevents",
@@ -251,15 +258,16 @@ def cohort_sharded(spark, d):
 
 
 @query("code_catalog", O.with_views(_COHORT_VIEWS + ["d_icd_diagnoses", "d_labitems_to_loinc"], f"""
-SELECT o.code, m.description, m.parent_codes
+SELECT o.code, m.description, m.parent_codes, NULL AS possibly_cpt_code
 FROM (SELECT DISTINCT code FROM ({_COHORT_SQL})) o
 LEFT JOIN ({_collapse_sql(_DIAG_META_SQL + ' UNION ALL ' + _LAB_META_SQL)}) m ON o.code = m.code"""))
 def code_catalog(spark, d):
     """A12 (+AG3, C3): every observed code with its metadata, written and read back."""
     metadata = meta_ops.all_dictionary_codes(_fixture_spec(), _dictionaries(spark, d))
-    cat = meta_ops.catalogue(meta_ops.observed_codes(_cohort_events(spark, d)), metadata)
+    cat = meta_ops.catalogue(_cohort_codes(spark, d), metadata)
     path = write_parquet(cat, f"{scratch_dir(spark, 'metadata')}/codes.parquet")
-    return spark.read.parquet(path).select("code", "description", _joined("parent_codes"))
+    return spark.read.parquet(path).select(
+        "code", "description", _joined("parent_codes"), _joined("possibly_cpt_code"))
 
 
 @query("subject_splits", O.with_views(SUBJECT_TABLES, f"SELECT subject_id, split, shard FROM ({_SHARDS_SQL})"))
@@ -370,7 +378,7 @@ SELECT m.* FROM ({_collapse_sql(_LAB_META_SQL)}) m
 WHERE m.code IN (SELECT code FROM ({_events_view_sql('hosp/labevents', 'labevents')}))"""))
 def code_metadata_semi(spark, d):
     """Dictionary metadata kept only for codes that occur."""
-    observed = meta_ops.observed_codes(extract_events(fx.labevents(spark, d), EVENTS["hosp/labevents"]))
+    observed = meta_ops.observed_codes(extract_events(fx.labevents(spark, d), EVENTS["hosp/labevents"], ["code"]))
     out = meta_ops.restrict_to_observed(_lab_metadata(spark, d), observed)
     return out.select("code", "description", _joined("parent_codes"))
 
@@ -397,7 +405,8 @@ def code_metadata_join(spark, d):
     """Observed diagnosis codes with description and parent code from the ICD dictionary."""
     spec = {"hosp/diagnoses_icd": EVENTS["hosp/diagnoses_icd"]}
     dicts = {"hosp/d_icd_diagnoses": prep_ops.normalize_icd(fx.d_icd_diagnoses(spark, d), "diagnoses")}
-    observed = meta_ops.observed_codes(extract_events(_prepared_diagnoses(spark, d), EVENTS["hosp/diagnoses_icd"]))
+    observed = meta_ops.observed_codes(
+        extract_events(_prepared_diagnoses(spark, d), EVENTS["hosp/diagnoses_icd"], ["code"]))
     cat = meta_ops.catalogue(observed, meta_ops.all_dictionary_codes(spec, dicts))
     return cat.select("code", "description", _joined("parent_codes"))
 
@@ -620,3 +629,7 @@ def events_patients(spark, d):
 def events_infusions(spark, d):
     """K0 events 24-26."""
     return extract_events(fx.inputevents(spark, d), EVENTS["icu/inputevents"])
+
+
+# The other ten tables register themselves; imported last, since they use ``query``.
+from cohortline.plans import table_queries  # noqa: E402, F401

@@ -93,9 +93,6 @@ DICTIONARIES: dict[str, T.StructType] = {
     "proc_itemid": _schema((ITEM_KEY, S), *_OMOP),
 }
 
-# Prepared tables (after the preparation step) that differ from their raw form.
-PREPARED_PATIENTS = _schema(("subject_id", L), ("dod", S), ("year_of_birth", S), ("gender", S))
-
 # The event row (D5): core columns first, then extension columns in a fixed order.
 CORE_COLUMNS: list[tuple[str, T.DataType]] = [
     ("subject_id", L), ("time", T.TimestampNTZType()), ("code", S), ("numeric_value", T.FloatType()),
@@ -110,6 +107,5 @@ EXTENSION_COLUMNS: list[tuple[str, T.DataType]] = [
 ]
 EVENT_COLUMNS = CORE_COLUMNS + EXTENSION_COLUMNS
 EVENT_TYPES: dict[str, T.DataType] = dict(EVENT_COLUMNS)
-EVENT_SCHEMA = _schema(*EVENT_COLUMNS)
 
 SPLITS_SCHEMA = _schema(("subject_id", L), ("split", S), ("shard", I))

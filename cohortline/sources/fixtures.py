@@ -102,7 +102,7 @@ def labevents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(e.select(
         F.col("user_id").alias("subject_id"),
         F.when(eid % 4 == 0, F.lit(None).cast("bigint")).otherwise(eid).alias("hadm_id"),
-        (F.lit(51000) + eid % 20).alias("itemid"),
+        (F.lit(51000) + eid % 20000).alias("itemid"),
         F.date_format(ts, fmt).alias("charttime"),
         F.when(eid % 13 == 0, F.lit(None).cast("string"))
         .otherwise(F.date_format(ts + F.expr("INTERVAL 1 HOUR"), fmt)).alias("storetime"),
@@ -114,11 +114,11 @@ def labevents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d_labitems_to_loinc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") < 20)
+    p = table(spark, sf_dir, "part")
     pk = F.col("p_partkey")
     return conform(p.select(
         (F.lit(51000) + pk).cast("string").alias(ITEM_KEY),
-        F.when(pk < 5, F.lit(None).cast("string")).otherwise(F.lit("mg/dL")).alias("valueuom"),
+        F.when(pk % 20 < 5, F.lit(None).cast("string")).otherwise(F.lit("mg/dL")).alias("valueuom"),
         F.when(pk % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("omop_concept_name"),
         F.col("p_brand").alias("label"),
         F.lit("LOINC").alias("omop_vocabulary_id"),

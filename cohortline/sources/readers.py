@@ -54,8 +54,8 @@ def discover_prefixes(spark: SparkSession, input_dir: str) -> list[str]:
     return sorted(found)
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
-    """Declared columns by name with declared types (absent ones as typed nulls)."""
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True, add_absent: bool = True) -> DataFrame:
+    """Declared columns by name with declared types; absent ones as typed nulls, or left out."""
     current_schema = df.schema  # one JVM round trip
     current_types = {f.name: f.dataType for f in current_schema.fields}
     cols = []
@@ -72,7 +72,7 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> Dat
                 cols.append(src.cast("string").alias(f.name))
             else:
                 cols.append(src.try_cast(f.dataType).alias(f.name))
-        else:
+        elif add_absent:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     declared = {f.name for f in schema.fields}
     extra = [F.col(f"`{c}`") for c in current_types if c not in declared] if keep_extra else []
@@ -121,12 +121,10 @@ def spread(df: DataFrame, size_bytes: int | None = None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, input_dir: str, prefix: str, schema: T.StructType | None = None,
-               infer: bool = False, columns: list[str] | None = None) -> DataFrame:
+               infer: bool = False, columns: list[str] | None = None, add_absent: bool = True) -> DataFrame:
     """The table ``prefix`` in whichever format wins (A1); ``columns`` prunes (A5)."""
     path, fmt = resolve_prefix(spark, input_dir, prefix)
-    if fmt == "parquet":
-        df = spread(spark.read.parquet(path))
-        df = conform(df, schema) if schema is not None else df
-    else:
-        df = read_csv(spark, path, schema=schema, infer=infer)
+    df = spread(spark.read.parquet(path)) if fmt == "parquet" else read_csv(
+        spark, path, infer=infer and schema is None)
+    df = conform(df, schema, add_absent=add_absent) if schema is not None else df
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
