@@ -1,4 +1,5 @@
-"""Views of the ten further event tables and their dictionaries (FIXTURES.md, second part).
+"""Views of the ten further event tables and of their dictionaries; the SQL of the queries in
+``plans/table_queries.py`` states the same columns over the driver's tables.
 
 Each covers a whole driver table; key-modulo rules only put nulls into columns.
 """
