@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import whole_text, without
+from cohortline.llm.common import by_bytes, whole_text, without
 
 # The pattern of byte-level pre-tokenization.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -48,44 +48,60 @@ UNASSIGNED = (
     "\\U000323B0-\\U00033479\\U0003D000-\\U0003FC3F"
 )
 
-SLICE = 500                # rows encoded at once
+PART_BYTES = 4 << 20       # bytes of texts or token ids handled at once
 BLOCK_CHARS = 1 << 20      # texts are pre-tokenized in blocks of about this size
-CACHE_ENTRIES = 200_000    # encoded pre-tokens, and as many words, kept per worker
+CACHE_WORDS = 200_000      # encoded words that are one pre-token, kept per worker
+CACHE_PIECES = 300_000     # encoded pre-tokens of other texts, kept per worker
 CACHE_CHARS = 48           # longer ones are not kept
 
 
 class _Encoded(dict):
-    """Piece of text -> its token ids as little-endian uint32 bytes, filled on first use
-    and emptied when full."""
+    """Piece of text -> its token ids as little-endian uint32 bytes, filled on first use by
+    ``fill``, which returns them and whether to keep them. A full half becomes the older half,
+    and pieces used again move to the new one, so the frequent pieces stay."""
 
-    def __init__(self, fill):
+    def __init__(self, fill, entries: int):
         super().__init__()
-        self.fill = fill
+        self.fill, self.half, self.older = fill, entries // 2, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = self.fill(piece)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+        packed, keep = self.older.get(piece), True
+        if packed is None:
+            packed, keep = self.fill(piece)
+        if keep:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
 
 
-class Codec:
-    """Encoder and decoder of one byte-level BPE vocabulary (the text of its JSON file)."""
+class Decoder:
+    """Decoder of one byte-level BPE vocabulary (the text of its JSON file)."""
+
+    def __init__(self, spec: str):
+        model = json.loads(spec)
+        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+        self.strings = {i: bytes(byte_of[c] for c in token) for token, i in model["model"]["vocab"].items()}
+        self.strings |= {t["id"]: t["content"].encode("utf-8") for t in model.get("added_tokens", [])}
+
+    def decode(self, packed: bytes) -> str:
+        """Text of packed token ids; bytes that are no UTF-8 become replacement characters."""
+        ids = memoryview(packed).cast("I")
+        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
+
+
+class Encoder:
+    """Encoder of one byte-level BPE vocabulary (the text of its JSON file)."""
 
     def __init__(self, spec: str):
         model = json.loads(spec)
         vocab, merges = model["model"]["vocab"], model["model"]["merges"]
-        alphabet = byte_alphabet()
-        byte_of = {c: b for b, c in enumerate(alphabet)}
-        self.byte_ids = [vocab[c] for c in alphabet]
+        self.byte_ids = [vocab[c] for c in byte_alphabet()]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         self.ranks = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
         self.merged = [vocab[a + b] for a, b in pairs]
-        self.strings = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
-        self.strings |= {i: content.encode("utf-8") for content, i in self.special.items()}
         self.special_pattern = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
@@ -95,8 +111,8 @@ class Codec:
             r"[^\s\p{L}\p{N}]+", f"(?:[^\\s\\p{{L}}\\p{{N}}]|[{UNASSIGNED}])+")
         self.strict_pattern = regex.compile(known)
         self.unassigned = regex.compile(f"[{UNASSIGNED}]")
-        self.pre_tokens = _Encoded(self._pre_token)
-        self.words = _Encoded(self._word)
+        self.pre_tokens = _Encoded(self._pre_token, CACHE_PIECES)
+        self.words = _Encoded(self._word, CACHE_WORDS)
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one pre-token's bytes.
@@ -158,21 +174,22 @@ class Codec:
         first, *rest = block.split(" ")
         return self._pieces(first) + b"".join(map(self.words.__getitem__, rest))
 
-    def _word(self, word: str) -> bytes:
-        return self._pieces(" " + word)
+    def _word(self, word: str) -> tuple[bytes, bool]:
+        pieces = self._split(" " + word)
+        if len(pieces) == 1:
+            return self._pre_token(pieces[0])
+        # words with marks or digits are too many to keep; their pieces are few
+        return b"".join(map(self.pre_tokens.__getitem__, pieces)), False
 
     def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pre_tokens.__getitem__, self._split(text)))
+
+    def _split(self, text: str) -> list[str]:
         strict = not text.isascii() and self.unassigned.search(text)
-        pattern = self.strict_pattern if strict else self.pattern
-        return b"".join(map(self.pre_tokens.__getitem__, pattern.findall(text)))
+        return (self.strict_pattern if strict else self.pattern).findall(text)
 
-    def _pre_token(self, piece: str) -> bytes:
-        return array("I", self.merge(piece.encode("utf-8"))).tobytes()
-
-    def decode(self, packed: bytes) -> str:
-        """Text of packed token ids; bytes that are no UTF-8 become replacement characters."""
-        ids = memoryview(packed).cast("I")
-        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
+    def _pre_token(self, piece: str) -> tuple[bytes, bool]:
+        return array("I", self.merge(piece.encode("utf-8"))).tobytes(), len(piece) <= CACHE_CHARS
 
 
 def byte_alphabet() -> list[str]:
@@ -199,23 +216,15 @@ def blocks(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Arrow batches in parts of SLICE rows, so few texts are Python objects at once."""
-    for batch in batches:
-        for at in range(0, len(batch), SLICE):
-            yield batch.slice(at, SLICE)
-
-
-_CODECS: dict[int, Codec] = {}
+_CODERS: dict[type, tuple[int, Encoder | Decoder]] = {}
 
 
-def codec(spec) -> Codec:
-    """This worker's codec of a broadcast vocabulary, built once."""
+def coder(kind: type, spec) -> Encoder | Decoder:
+    """This worker's encoder or decoder of a broadcast vocabulary, built once."""
     key = hash(spec.value)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(spec.value)
-    return _CODECS[key]
+    if kind not in _CODERS or _CODERS[kind][0] != key:
+        _CODERS[kind] = key, kind(spec.value)
+    return _CODERS[kind][1]
 
 
 def _spec(df: DataFrame, vocab_path: str):
@@ -229,8 +238,8 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(spec)
-        for part in slices(batches):
+        c = coder(Encoder, spec)
+        for part in by_bytes(batches, PART_BYTES):
             yield pa.array([c.encode(t) for t in part.to_pylist()], pa.binary())
 
     out = without(docs, [n for n in ("token_ids", "n_tokens") if n != text])
@@ -244,13 +253,34 @@ def decode(tokens: DataFrame, vocab_path: str, ids: str = "token_ids") -> DataFr
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(spec)
-        for part in slices(batches):
+        c = coder(Decoder, spec)
+        for part in by_bytes(batches, PART_BYTES):
             yield pa.array([c.decode(b) for b in part.to_pylist()], pa.string())
 
     return without(tokens, ["decoded"]).withColumn("decoded", run(F.coalesce(F.col(ids), F.lit(b""))))
 
 
+def round_trip(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
+    """``docs`` plus the columns of ``encode`` and ``decode``, in one pass of each text through
+    a Python worker. Both steps apart take two workers a task."""
+    spec = _spec(docs, vocab_path)
+
+    @F.arrow_udf("struct<token_ids: binary, decoded: string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = coder(Encoder, spec), coder(Decoder, spec)
+        for part in by_bytes(batches, PART_BYTES):
+            tokens = [encoder.encode(t) for t in part.to_pylist()]
+            yield pa.StructArray.from_arrays(
+                [pa.array(tokens, pa.binary()), pa.array([decoder.decode(b) for b in tokens], pa.string())],
+                names=["token_ids", "decoded"])
+
+    added = ("token_ids", "n_tokens", "decoded")
+    out = without(docs, ["__coded", *(n for n in added if n != text)]).withColumn("__coded", run(whole_text(text)))
+    ids = F.col("__coded.token_ids")
+    return out.withColumns({"token_ids": ids, "n_tokens": (F.octet_length(ids) / 4).cast("long"),
+                            "decoded": F.col("__coded.decoded")}).drop("__coded")
+
+
 def token_array(tokens: bytes) -> list[int]:
     """Packed ids as a list."""
     return list(memoryview(tokens).cast("I"))

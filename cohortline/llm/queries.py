@@ -40,8 +40,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, VOCABULARY).select("doc_id", "n_tokens", "token_ids")
-    return bpe.decode(tokens, VOCABULARY).select(
+    return bpe.round_trip(docs, VOCABULARY).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

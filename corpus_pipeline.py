@@ -47,9 +47,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the hash of the text decoded from them."""
-    encoded = bpe.encode(docs, VOCABULARY).drop("text")
-    return bpe.decode(encoded, VOCABULARY).withColumn(
-        "decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
+    return bpe.round_trip(docs, VOCABULARY).withColumn(
+        "decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("text", "decoded")
 
 
 STAGES = [

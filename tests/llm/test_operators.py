@@ -277,16 +277,34 @@ def test_bpe_equals_the_library_and_round_trips(spark, texts):
         assert bpe.token_array(bytes(r["token_ids"])) == ids and r["n_tokens"] == len(ids) and r["decoded"] == t
 
 
+def test_bpe_round_trip_is_encode_then_decode(spark, texts):
+    docs = docs_of(spark, texts).withColumnRenamed("lang", "Decoded")
+    both = bpe.round_trip(docs, VOCABULARY)
+    apart = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    assert both.columns == apart.columns
+    assert sorted(both.collect(), key=lambda r: r["doc_id"]) == sorted(apart.collect(), key=lambda r: r["doc_id"])
+
+
+@pytest.mark.parametrize("words, pieces", [(2, 2), (200_000, 300_000)])
+def test_bpe_caches_change_nothing(texts, monkeypatch, words, pieces):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", words)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", pieces)
+    library, encoder = Tokenizer.from_file(VOCABULARY), bpe.Encoder(open(VOCABULARY, encoding="utf-8").read())
+    for t in [*texts, *texts]:
+        assert bpe.token_array(encoder.encode(t or "")) == library.encode(t or "", add_special_tokens=False).ids
+
+
 def test_bpe_of_random_strings():
-    library, codec = Tokenizer.from_file(VOCABULARY), bpe.Codec(open(VOCABULARY, encoding="utf-8").read())
+    spec = open(VOCABULARY, encoding="utf-8").read()
+    library, encoder, decoder = Tokenizer.from_file(VOCABULARY), bpe.Encoder(spec), bpe.Decoder(spec)
     rng = random.Random(1)
     parts = ["a", "b", " ", "  ", "\n", "\t", " ", "\xa0", "1", "٣", "é", "中", "࢏", "\U00031350", "'s", "'LL",
              "<|endoftext|>", "!", "..", "\x1c", "\x85", "​", "😀", "\r\n", "the", "ing"]
     for _ in range(3_000):
         s = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
         ids = library.encode(s, add_special_tokens=False).ids
-        assert bpe.token_array(codec.encode(s)) == ids
-        assert codec.decode(codec.encode(s)) == library.decode(ids, skip_special_tokens=False)
+        assert bpe.token_array(encoder.encode(s)) == ids
+        assert decoder.decode(encoder.encode(s)) == library.decode(ids, skip_special_tokens=False)
 
 
 # ---- empty tables
@@ -300,7 +318,7 @@ def test_empty_tables(spark):
         sharding.interleave(docs, 8), quality_pu.score(docs, quality_pu.fit(docs, labels)),
         mixing.mix(docs, mixing.temperature_weights(docs)), chosen_path.link(docs), chosen_path.dedup(docs),
         url_templates.judge(pages), pii.detect(docs), pii.sanitise(docs), suffix_repetition.rules(docs),
-        bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY),
+        bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY), bpe.round_trip(docs, VOCABULARY),
     ):
         assert out.count() == 0
 
