@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import col, saved, whole_text
+from cohortline.llm.common import by_bytes, col, saved, whole_text
 from cohortline.llm.components import components
 
 SHINGLE = 5
@@ -52,6 +52,7 @@ TREES, DEPTH, SECOND = 8, 6, 4
 LEAF, PIVOTS = 1024, 8
 POSSIBLE = 40              # equal tokens of 64 below which 0.85 is out of the question (1e-5)
 BLOCK = 8_192              # shingles or pairs handled per step
+PART_BYTES = 2 << 20       # bytes of texts that are Python objects at once (a longer one is alone)
 
 _SCRAMBLE = np.random.default_rng(20).integers(1 << 31, size=(TOKENS, 2), dtype=np.uint32)
 _XOR, _ODD = _SCRAMBLE[:, :1], (_SCRAMBLE[:, 1:] << np.uint32(1)) | np.uint32(1)
@@ -84,9 +85,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in texts:
+    for part in by_bytes(texts, PART_BYTES):
         n, cls, sig = [], [], []
-        for text in batch.to_pylist():
+        for text in part.to_pylist():
             s = shingle_set(text)
             n.append(len(s))
             cls.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -224,12 +225,27 @@ def _units(nodes: DataFrame, apart: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _stretches(batches, "node"):
-            yield from _node_units(rows, apart)
+            for part in _parts(rows):
+                yield from _node_units(part, apart)
 
     ordered = nodes.select(*columns).repartition("node").sortWithinPartitions("node", "cls")
     return ordered.mapInArrow(run, "unit bigint, cls binary").distinct()
 
 
+def _parts(rows: pa.Table) -> Iterator[pa.Table]:
+    """Rows sorted by node in parts of whole nodes, with about a leaf's pairs each at most, so
+    that the possible pairs held at once don't grow with the batch."""
+    node = rows["node"].to_numpy()
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
+    ends = np.r_[starts[1:], len(node)]
+    pairs = np.cumsum((ends - starts) ** 2)
+    at, done = 0, 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(pairs, done + LEAF * LEAF, side="right")))
+        yield rows.slice(int(starts[at]), int(ends[to - 1] - starts[at]))
+        at, done = to, int(pairs[to - 1])
+
+
 def _node_units(rows: pa.Table, apart: bool) -> Iterator[pa.RecordBatch]:
     m = rows.num_rows
     if m < 2:

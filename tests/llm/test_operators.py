@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -173,6 +174,16 @@ def test_near_duplicates_match_brute_force(spark, texts, monkeypatch, leaf):
 
 # ---- 7 URL templates
 
+def test_node_parts_hold_every_node_whole(monkeypatch):
+    monkeypatch.setattr(chosen_path, "LEAF", 4)
+    nodes = [n for n, size in enumerate([1, 2, 9, 1, 3, 3, 1, 4]) for _ in range(size)]
+    for rows in (pa.table({"node": nodes}), pa.table({"node": pa.array([], pa.int64())})):
+        parts = [p["node"].to_pylist() for p in chosen_path._parts(rows)]
+        assert [n for p in parts for n in p] == rows["node"].to_pylist()
+        assert all(not set(a) & set(b) for a, b in zip(parts, parts[1:]))
+        assert all(len(set(p)) == 1 or sum(c * c for c in Counter(p).values()) <= 16 for p in parts)
+
+
 def test_urls_and_rules(spark):
     urls = [None, "no scheme", "http://X.Example.ORG/en/12?a#b", "http://example.org/es/1", "http://a.com/fr/1", "http://a.com/de/1",
             "http://acom/de/1", "https://h.net", "http://h.net?x=/a", "ftp://casino-x.net/a", "ftp://casino-x.net/b"]
