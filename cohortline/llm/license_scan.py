@@ -1,14 +1,17 @@
 """Licence scan by canonical digest lookup.
 
 A text and its parts (paragraphs between empty lines, and lines) are normalised as a whole:
-ASCII letters in lower case, copyright lines dropped, equivalent spellings unified, runs of
-punctuation and white space turned into one blank. The SHA-256 of the result is joined by
+ASCII letters in lower case, copyright notices dropped, equivalent spellings unified, runs of
+punctuation and white space turned into one blank. Only a line shaped as a notice is dropped
+(``COPYRIGHT_LINE``), so the form of a licence text does not depend on where its prose is wrapped. The SHA-256 of the result is joined by
 hash with the digests of known licence texts, which went through the same steps. A part
 matches only if it is a known text from end to end.
 
 The known texts are a parameter, (licence, text) rows; their digests (about 100 bytes each)
 are broadcast when there are at most ``BROADCAST_TEXTS``, else joined by a shuffle. Only
-matches are grouped by document, with partial aggregation.
+matches are grouped by document, with partial aggregation. The texts of the Creative Commons
+BY licences are not among them, only their short notices. The GPL texts hold notices of their
+own and match only with those on lines of their own, as published.
 
 Defined results: a null text counts as empty, an empty part matches nothing; long texts are
 taken whole; a text that is known under several names reports all of them; rows that repeat
@@ -18,7 +21,9 @@ an empty table stays empty.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 from cohortline.llm.common import col, whole_text
 
 BROADCAST_TEXTS = 20_000     # 2 MB of digests
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Short public notices and licence texts, as (licence, text).
 KNOWN = (
@@ -69,18 +75,95 @@ ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CO
 THIS SOFTWARE."""),
 )
 
+_BSD_START = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+{} Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+{} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+_BSD_NAME = """{} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+"""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _titled(licence: str, titles: Iterable[str], body: str) -> list[tuple[str, str]]:
+    return [(licence, f"{title}\n\n{body}") for title in titles]
+
+
+def _entire_texts() -> list[tuple[str, str]]:
+    """Whole licence texts under their usual titles or none, and those of ``licences/``."""
+    body = {licence: text.split("\n\n", 1)[1] for licence, text in KNOWN if "\n\n" in text}
+    out = _titled("MIT", ("", "The MIT License", "The MIT License (MIT)"), body["MIT"])
+    out += _titled("ISC", ("", "The ISC License", "ISC License"), body["ISC"])
+    for marks in (("1.", "2.", "3."), ("*", "*", "*")):
+        start, end = _BSD_START.format(*marks[:2]), _BSD_END
+        for name, clauses in (("2", start + end), ("3", start + _BSD_NAME.format(marks[2]) + end)):
+            out += _titled(f"BSD-{name}-Clause", ("", f"BSD {name}-Clause License", f"The BSD {name}-Clause License"), clauses)
+    for name in ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "MPL-2.0"):
+        out.append((name, files("cohortline.llm").joinpath("licences", f"{name}.txt").read_text("utf-8")))
+    return out
+
+
+KNOWN += tuple(_entire_texts())
+
+# Words that follow "copyright" in the prose of licences; any other word or a
+# number makes a line that starts with "copyright" a notice with its sign, year or holder.
+PROSE_WORDS = (
+    "act", "acts", "also", "and", "as", "claim", "claims", "control", "disclaimer", "for", "header", "headers", "holder",
+    "holders", "in", "information", "infringement", "interest", "interests", "is", "law", "laws", "licence", "licences",
+    "license", "licenses", "like", "line", "lines", "material", "notice", "notices", "of", "on", "or", "owner", "owners",
+    "ownership", "permission", "protection", "right", "rights", "statement", "statements", "status", "to", "treaties",
+    "treaty", "under", "work", "works",
+)
+
+
+def _other_word(words: Iterable[str], prefix: str = "") -> str:
+    """Pattern of the start of a lower-case word that is none of ``words``, without the
+    look-ahead that not every engine has."""
+    following = sorted({w[len(prefix)] for w in words if w.startswith(prefix) and w != prefix})
+    if not following:
+        return "[a-z]"
+    fresh = "".join(c for c in LOWER if c not in following)
+    ways = [f"[{fresh}]"] + [c + _other_word(words, prefix + c) for c in following]
+    if prefix and prefix not in words:
+        ways += ["[^a-z\\n]", "$"]
+    return "(" + "|".join(ways) + ")"
+
+
+_NOTICE = f"copyright[^a-z0-9\\n]+([0-9]|{_other_word(PROSE_WORDS)})"
+# A longer line is a text that was put on one line, its notice ends where the licence starts.
+COPYRIGHT_LINE = (
+    f"(?m)^[^a-z0-9\\n]*((\\(c\\)[^a-z0-9\\n]*)?{_NOTICE}[^\\n]{{0,200}}|©[^\\n]{{0,200}}"
+    "|\\(c\\)[^\\n]{0,100}(19|20)[0-9]{2}[^\\n]{0,100}|all rights reserved[^a-z0-9\\n]*)$")
+# Openings that end a notice on the same line.
+OPENINGS = ("permission is hereby granted", "permission to use, copy", "redistribution and use in source")
+
 # Spellings that licence matching treats as equal, after lower-casing and
-# before punctuation is removed (pattern, replacement).
+# before punctuation is removed (pattern, replacement). A spelling with a separator stands
+# for the one without, so that a line may end there.
 SPELLINGS = (
+    *[(f"(\\(c\\) *)?{_NOTICE}[^\\n]{{0,200}}?{opening}", opening) for opening in OPENINGS],
     ("https://", "http://"),
     ("\\(c\\)|©", "copyright"),
     ("&", "and"),
     ("\\blicence", "license"),
-    ("sub-licen[cs]e|sub licen[cs]e", "sublicense"),
+    ("sublicen[cs]e", "sub license"),
     ("acknowledgement", "acknowledgment"),
-    ("non-infringement", "noninfringement"),
-    ("\\bper cent\\b", "percent"),
-    ("\\bversion\\b|\\bv\\. ", "version "),
+    ("noninfringement", "non infringement"),
+    ("\\bpercent\\b", "per cent"),
+    ("\\bv\\.", "version "),
     ("analogue", "analog"),
     ("authorisation", "authorization"),
     ("organisation", "organization"),
@@ -89,16 +172,14 @@ SPELLINGS = (
     ("programme", "program"),
     ("wilful", "willful"),
 )
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = "(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©|all rights reserved)[^\\n]*$"
 # ASCII white space and punctuation, and typographic blanks, dots, dashes, quotes and bullets
 SEPARATORS = "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0\u00b7\u2010-\u2015\u2018-\u201f\u2022\u2026]+"
 
 
 # Substrings of which every copyright line or variant spelling has one.
 VARIANT_SIGNS = (
-    "copyright", "all rights reserved", "https://", "(c)", "©", "&", "licence", "sub-licen", "sub licen",
-    "acknowledgement", "non-infringement", "per cent", "version", "v. ", "analogue", "authorisation", "organisation",
+    "copyright", "all rights reserved", "https://", "(c)", "©", "&", "licence", "sublicen",
+    "acknowledgement", "noninfringement", "percent", "v.", "analogue", "authorisation", "organisation",
     "favour", "fulfilment", "programme", "wilful",
 )
 

@@ -4,6 +4,7 @@ rows, empty tables and clashing columns, each against a brute-force statement of
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -78,6 +79,34 @@ def test_license_scan(spark):
     assert [got[i]["whole_licences"] for i in range(8)] == ["MIT", "MIT", None, "MIT", None, None, None, "ISC"]
 
 
+def test_license_texts_match_at_any_wrap_width(spark):
+    texts, wanted = [], []
+    for licence in ("MIT", "ISC", "BSD-3-Clause"):
+        body = next(t for k, t in license_scan.KNOWN if k == licence and "\n\n" in t)
+        paragraphs = [" ".join(p.split()) for p in body.split("\n\n") if p.strip()]
+        for notice in ([], ["Copyright (c) 2020 Jane Doe"], ["Copyright Jane Doe and others"], ["(c) Jane Doe, 2021", "All rights reserved."]):
+            at = 1 if len(paragraphs[0].split()) < 6 else 0
+            parts = [*paragraphs[:at], *notice, *paragraphs[at:]]
+            for width in (40, 66, 72, 78, 80, 100, 10_000):
+                texts.append("\n\n".join(textwrap.fill(p, width) for p in parts))
+            if notice[:1] in ([], ["Copyright (c) 2020 Jane Doe"]):
+                texts.append(" ".join(parts))     # on one line
+            wanted += [licence] * (len(texts) - len(wanted))
+    texts.append("copyright holders are people\nReleased under the MIT License.")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs_of(spark, texts), license_scan.known_texts(spark)).collect()}
+    assert [got[i]["whole_licences"] for i in range(len(texts))] == [*wanted, None]
+
+
+def test_license_notices_are_told_from_prose(spark):
+    notices = ["copyright (c) 2020 a", "# copyright 2020 a", "copyright jane doe", "© a", "(c) 2020 a", "(c) a 2020", "copyright no",
+               "copyright [yyyy] [name]", "all rights reserved.", "copyright a", "copyright the x authors", "(c) copyright a"]
+    prose = ["copyright holders be liable", "copyright notice and this", "(c) you must retain", "copyright", "copyrighted by a",
+             "copyright license to", "all rights reserved by law are", "copyright or", "copyright. notice"]
+    docs = docs_of(spark, notices + prose)
+    forms = [r[0] for r in docs.orderBy("doc_id").select(license_scan.canonical(docs["text"])).collect()]
+    assert forms[:len(notices)] == [""] * len(notices) and all(forms[len(notices):])
+
+
 # ---- 3 sharding
 
 def test_sharding_matches_the_mixture(spark):
