@@ -27,8 +27,10 @@ Only classes with a possible partner have their texts shuffled.
 
 Defined results: null and empty texts and texts without words have an empty set and are
 linked with nothing; texts of fewer than five words are one shingle; rows that repeat an id
-and text have the same component; rows that repeat only the id are judged by their own
-text; long texts are taken whole, their signature is built in blocks; extra columns are
+and text have the same component, and ``dedup`` keeps one of them; rows that repeat only the
+id are judged by their own text; a null id comes after all others and is no one's copy for
+being null: a component of null ids only has a null ``component_id`` and keeps one text; long
+texts are taken whole, their signature is built in blocks; extra columns are
 carried by ``dedup`` and ignored by ``link``; an empty table stays empty.
 """
 
@@ -311,8 +313,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFr
     """(cls, __text) of the first document of each wanted class."""
     rows = docs.select(col(id_col).alias("__id"), whole_text(text).alias("__text")).withColumn(
         "__hash", F.xxhash64("__text"))
-    return rows.join(wanted.select(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash"), "cls"),
-                     ["__id", "__hash"]).groupBy("cls").agg(F.first("__text").alias("__text"))
+    firsts = wanted.select(F.col("first.id").alias("__first"), F.col("first.hash").alias("__first_hash"), "cls")
+    return rows.join(
+        firsts, F.col("__id").eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__first_hash"))
+    ).groupBy("cls").agg(F.first("__text").alias("__text"))
 
 
 def _confirmed(units: DataFrame, classes: DataFrame, docs: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -325,15 +329,17 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row: id, ``text_hash`` (xxhash64), ``n_shingles``, ``component_id``,
-    ``kept`` (id = component_id)."""
+    """One row per row: id, ``text_hash`` (xxhash64), ``n_shingles``, ``component`` (label of
+    the component, null without shingles), ``component_id`` (its least id, nulls last), ``kept``
+    (the id is the component's least, and the text hash the least of its rows with that id)."""
     content = whole_text(text)
     described = F.arrow_udf(_described, "struct<n: bigint, cls: binary, sig: binary>")
     rows = saved(
         docs.select(col(id_col).alias("__id"), F.xxhash64(content).alias("__hash"), described(content).alias("d"))
         .select("__id", "__hash", "d.*"))
     classes = saved(rows.filter("n > 0").groupBy("cls").agg(
-        F.min(F.struct(F.col("__id").alias("id"), F.col("__hash").alias("hash"))).alias("first"),
+        F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"),
+                       F.col("__hash").alias("hash"))).alias("first"),
         F.first("n").alias("n"), F.first("sig").alias("sig")))
 
     leaves, large = _grow(classes)
@@ -348,25 +354,32 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         links = links.unionByName(more)
     labels = _labels(links)
 
-    named = classes.select("cls", F.col("first.id").alias("__first")).join(labels, "cls", "left").withColumn(
-        "label", F.coalesce("label", "cls"))
-    least = named.groupBy("label").agg(F.min("__first").alias("component_id"))
-    component = named.join(least, "label").select("cls", "component_id")
+    named = classes.select("cls", "first").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    least = named.groupBy("label").agg(F.min("first").alias("least"))
+    component = named.join(least, "label").select(
+        "cls", F.col("label").alias("component"), F.col("least.id").alias("component_id"), F.col("least.hash").alias("__least_hash"))
     joined = rows.select("__id", "__hash", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls"))
-    empty = joined.filter("n = 0").withColumn("component_id", F.col("__id"))
+    empty = joined.filter("n = 0").withColumns({
+        "component": F.lit(None).cast("binary"), "component_id": F.col("__id"), "__least_hash": F.col("__hash")})
     full = joined.filter("n > 0").join(component, "cls")
     return full.unionByName(empty.select(full.columns)).select(
-        F.col("__id").alias(id_col), F.col("__hash").alias("text_hash"), F.col("n").alias("n_shingles"), "component_id",
-        F.col("__id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("__id").alias(id_col), F.col("__hash").alias("text_hash"), F.col("n").alias("n_shingles"), "component", "component_id",
+        (F.col("__id").eqNullSafe(F.col("component_id")) & (F.col("__hash") == F.col("__least_hash"))).alias("kept"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, whole: the one with the least id of each component (of
-    rows with that id, the one with the least text hash)."""
-    kept = link(docs, id_col, text).groupBy("component_id").agg(
-        F.min(F.when(F.col("kept"), F.col("text_hash"))).alias("__hash")).select(
-        F.col("component_id").alias("__id"), "__hash")
+    """The rows of ``docs`` that stay, whole: one of each component, the one with the least id
+    (of rows with that id, the one with the least text hash), and every row without words,
+    once if it repeats an id and text."""
+    # equal text hashes are in one component, so id and hash name the component's row
+    linked = link(docs, id_col, text).filter("kept")
+    nameless = col(id_col).isNull() & F.col("component").isNull()
+    kept = saved(linked.groupBy(col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
+        F.count_if(~nameless).alias("copies")))
     keyed = docs.withColumn("__text_hash", F.xxhash64(whole_text(text)))
-    return keyed.join(
-        kept, col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_semi"
-    ).select(*[col(c) for c in docs.columns])
+    this_row = col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    left = keyed.join(kept.filter("copies < 2"), this_row, "left_semi")
+    repeated = kept.filter("copies > 1")
+    if not repeated.isEmpty():   # only these travel to be counted once
+        left = left.unionByName(keyed.join(repeated, this_row, "left_semi").dropDuplicates([id_col, "__text_hash"]))
+    return left.select(*[col(c) for c in docs.columns])

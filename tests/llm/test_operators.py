@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, quality_pu, sharding,
@@ -201,6 +202,34 @@ def test_near_duplicates_match_brute_force(spark, texts, monkeypatch, leaf):
     assert got == brute_components(docs_texts)
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    rng = random.Random(31)
+    one, two, three, four = (words(rng, 120) for _ in range(4))
+    near = lambda t: " ".join([*t.split()[:60], "changed", *t.split()[61:]])
+    rows = [
+        (5, one), (5, two),                              # unrelated texts under one id
+        (None, three), (None, near(three)), (None, four),   # null ids: two near copies, one other
+        (None, one + " "), (7, near(one)),               # a class with a null and a real id
+        (9, words(random.Random(32), 90)), (9, words(random.Random(32), 90)),   # a repeated row
+        (None, ""), (None, ""), (None, None), (5, ""), (5, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = chosen_path.link(docs).collect()
+    by_hash = {r["text_hash"]: r for r in linked}
+    hashes = [r[0] for r in docs.select(F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+    labels = [by_hash[h]["component"] for h in hashes]
+    groups = [labels[0], labels[1], labels[2], labels[4], labels[7]]
+    assert len(set(groups)) == 5 and None not in groups
+    assert labels[2] == labels[3] and labels[0] == labels[5] == labels[6]
+    assert by_hash[hashes[2]]["component_id"] is None and by_hash[hashes[5]]["component_id"] == 5
+    assert Counter((r["doc_id"], r["text_hash"]) for r in linked if r["kept"]) == Counter(
+        [(5, hashes[0]), (5, hashes[1]), (None, min(hashes[2:4])), (None, hashes[4])] + [(9, hashes[7])] * 2
+        + [(None, hashes[9])] * 3 + [(5, hashes[9])] * 2)
+    got = Counter((r["doc_id"], r["text"]) for r in chosen_path.dedup(docs).collect())
+    least = three if hashes[2] < hashes[3] else near(three)
+    assert got == Counter([(5, one), (5, two), (None, least), (None, four), rows[7], (None, ""), (None, ""), (None, None), (5, "")])
+
+
 # ---- 7 URL templates
 
 def test_node_parts_hold_every_node_whole(monkeypatch):
