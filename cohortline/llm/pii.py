@@ -2,18 +2,20 @@
 
 Base spans (e-mail, IP address, card, phone) come from fixed patterns. The method then asks
 how strongly the words around a protected value give it away. Contexts are lines. For a
-value e that occurs in at least ``LEAST_LINES`` distinct lines (copies of a line count as one
-here) and a term t that shares at least as many distinct lines with it,
+value e and a term t that share a line,
 
-    disclosure(t; e) = PMI(t; e) / IC(e) = ln(n(t,e) N / (n(t) n(e))) / ln(N / n(e)),
+    disclosure(t; e) = PMI(t; e) / IC(e) = ln(P(e | t) / P(e)) / ln(1 / P(e)),
+    P(e | t) = (n(t,e) + SMOOTHING P(e)) / (n(t) + SMOOTHING),  P(e) = n(e) / N,
 
 the part of the information content of e that t reveals, with n counted over all lines of
-all documents, copies included. Terms over ``REMOVE`` are removed, those over ``GENERALISE`` replaced by a
-placeholder, wherever they stand in a line with the value.
+all documents, copies included. Values and terms of every count are scored; smoothing, which
+moves P(e | t) of a rare term towards P(e), stands in place of a least count. Terms over
+``REMOVE`` are removed, those over ``GENERALISE`` replaced by a placeholder, wherever they
+stand in a line with the value.
 
 All of it is DataFrame code. Values, lines and terms are counted with partial sums; the
-corpus count keeps only terms that share enough lines with a value, which are broadcast
-when there are at most ``BROADCAST_TERMS`` of them, and otherwise joined by a shuffle.
+corpus count keeps only terms that share a line with a value, which are broadcast when there
+are at most ``BROADCAST_TERMS`` of them, and otherwise joined by a shuffle of the sums.
 
 Patterns are written with possessive quantifiers and a run-start test, which match the same
 strings as the plain patterns but need neither recursion nor rescans of long runs.
@@ -43,7 +45,7 @@ PATTERNS = {
 }
 WORD = r"[\p{L}\p{N}]+"
 
-LEAST_LINES = 3
+SMOOTHING = 1.25         # occurrences of a term that are added at the value's corpus rate
 GENERALISE, REMOVE = 0.8, 0.95
 BROADCAST_TERMS = 100_000
 
@@ -123,24 +125,23 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFra
 
     ``contexts``: (value, line_hash, line), one row per value and line with it."""
     lines = saved(contexts.groupBy("value", "line_hash").agg(F.first("line").alias("line"), F.count("*").alias("copies")))
-    of_value = lines.groupBy("value").agg(F.count("*").alias("lines"), F.sum("copies").alias("n_e")).filter(
-        F.col("lines") >= LEAST_LINES)
+    of_value = lines.groupBy("value").agg(F.sum("copies").alias("n_e"))
     shared = saved(
-        lines.join(of_value.select("value", "n_e"), "value")
-        .select("value", "n_e", "copies", F.explode(_terms(F.col("line"))).alias("term"))
-        .groupBy("value", "term").agg(F.count("*").alias("lines"), F.sum("copies").alias("n_te"), F.first("n_e").alias("n_e"))
-        .filter(F.col("lines") >= LEAST_LINES).drop("lines")
+        lines.select("value", "copies", F.explode(_terms(F.col("line"))).alias("term"))
+        .groupBy("value", "term").agg(F.sum("copies").alias("n_te"))
+        .join(of_value, "value")
     )
     wanted = shared.select("term").distinct()
-    if wanted.count() <= BROADCAST_TERMS:
-        wanted = F.broadcast(wanted)
     all_lines = docs.select(F.explode(F.split(whole_text(text), "\n")).alias("line")).filter("line != ''")
-    of_term = (
-        all_lines.select(F.explode(_terms(F.col("line"))).alias("term"))
-        .join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    )
+    every_term = all_lines.select(F.explode(_terms(F.col("line"))).alias("term"))
+    if wanted.count() <= BROADCAST_TERMS:
+        of_term = every_term.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    else:
+        of_term = every_term.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term")
     total = all_lines.agg(F.count("*").alias("n"))
-    score = F.log(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e"))) / F.log(F.col("n") / F.col("n_e"))
+    rate = F.col("n_e") / F.col("n")
+    given = (F.col("n_te") + SMOOTHING * rate) / (F.col("n_t") + SMOOTHING)
+    score = F.log(given / rate) / F.log(1 / rate)
     return (
         shared.join(of_term, "term").join(F.broadcast(total))
         .withColumn("score", F.when(F.col("n") > F.col("n_e"), score)).filter(F.col("score") >= GENERALISE)
@@ -173,10 +174,15 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
             F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("acts"))
     )
     words = F.regexp_extract_all(F.col("line"), F.lit(WORD), F.lit(0))
-    acts = acts.withColumn("__words", words).withColumn("__at", positions(F.col("line"), WORD, F.col("__words")))
-    hits = F.filter("__at", lambda s: F.map_contains_key(F.col("acts"), F.lower(s["match"])))
+    between = F.split(F.regexp_replace("line", r"\x00", " "), WORD, -1)
+    # terms to act on stand between NULs, so that only they are counted through, not all words
+    hit = lambda w: F.coalesce(F.map_contains_key(F.col("acts"), F.lower(w)), F.lit(False))
+    marked = F.array_join(F.zip_with(between, F.col("__words"), lambda p, w: F.concat(
+        p, F.when(hit(w), F.concat(F.lit("\0"), w, F.lit("\0"))).otherwise(F.coalesce(w, F.lit(""))))), "")
+    acts = acts.withColumn("__words", words).withColumn("__marked", marked)
+    acts = acts.withColumn("__at", positions(F.col("__marked"), r"\x00[^\x00]*+\x00", F.filter("__words", hit)))
     added = (
-        acts.select("__id", "__text_hash", F.transform(hits, lambda s: F.struct(
+        acts.select("__id", "__text_hash", F.transform("__at", lambda s: F.struct(
             (s["start"] + F.col("at")).alias("start"), F.element_at(F.col("acts"), F.lower(s["match"])).alias("kind"),
             (s["end"] + F.col("at")).alias("end"))).alias("spans"))
         .groupBy("__id", "__text_hash").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("__added"))

@@ -306,6 +306,18 @@ def test_personal_data_disclosing_terms(spark):
     assert all(clean[6 + i] == t for i, t in enumerate(filler))
 
 
+def test_personal_data_terms_of_values_seen_once_or_in_copies(spark):
+    rng = random.Random(5)
+    common = ["reach", "at", "the", "word", "call", "today"]
+    filler = [" ".join(rng.choice(common) for _ in range(9)) for _ in range(300)]
+    once, copied = "a\0b\nReach Quuxley at quux@y.org today", "Call Plughdorf at +49 30 1234567 today"
+    docs = docs_of(spark, [once, *filler, *[copied] * 50])
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert clean[0] == "a\0b\nReach <term> at <email> today"
+    assert all(clean[301 + i] == "Call  at <phone> today" for i in range(50))
+    assert all(clean[1 + i] == t for i, t in enumerate(filler))
+
+
 # ---- 9 quality rules
 
 def brute_rules(t):
