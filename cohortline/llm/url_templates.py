@@ -102,9 +102,9 @@ def segments(path: Column) -> list[Column]:
     return [*levels[:-1], tail]
 
 
-def word_label(host: Column, words: Sequence[str] = BAD_HOST_WORDS) -> Column:
-    """0 for hosts with a bad word among their name's words, else null."""
-    named = F.arrays_overlap(F.split(host, "[^a-z]+"), F.array(*[F.lit(w) for w in words]))
+def word_label(name: Column, words: Sequence[str] = BAD_HOST_WORDS) -> Column:
+    """0 for names (lower case) with a bad word among their words, else null."""
+    named = F.arrays_overlap(F.split(name, "[^a-z]+"), F.array(*[F.lit(w) for w in words]))
     return F.when(named, 0)
 
 
@@ -141,14 +141,19 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: Da
           id_col: str = "page_id", url: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, verdict, template, purity.
 
-    ``labels`` (id, good 0/1; one row per id) adds labels to those of the host words and of
-    pages that a rule allows."""
+    Seed labels vary inside a host: pages that a rule blocks or whose host, path or query has
+    a bad word are bad, pages that a rule allows good, rules first. Without ``labels`` all other
+    pages of a host are good seeds, so a template is judged by its share of bad pages;
+    ``labels`` (id, good 0/1; one row per id) come before these, and leave other pages unlabelled."""
     host, path = host_and_path(col(url).cast("string"))
-    rows = pages.select(col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
+    words = F.when(F.contains(col(url).cast("string"), F.lit("://")), F.translate(col(url).cast("string"), UPPER, LOWER))
+    rows = pages.select(col(id_col).alias(id_col), host.alias("host"), path.alias("path"),
+                        F.coalesce(word_label(words), F.when(words.isNotNull(), 1)).alias("__seed"))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "__action": action})
     rows = rows.withColumns({f"s{i}": s for i, s in enumerate(segments(F.col("path")))})
-    label = F.coalesce(word_label(F.col("host")), F.when(F.col("__action") == "allow", 1))
+    label = F.when(F.col("__action") == "block", 0).when(F.col("__action") == "allow", 1)
+    label = F.coalesce(label, F.when(F.col("__seed") == 0, 0) if labels is not None else F.col("__seed"))
     if labels is not None:
         rows = rows.join(labels.select(col(id_col), F.col("good").alias("__good")), id_col, "left")
         label = F.coalesce(F.col("__good"), label)

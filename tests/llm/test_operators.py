@@ -264,6 +264,14 @@ def test_url_templates_reject_bad_branch(spark):
         ("h.net/bad/{number}", "block"), ("h.net/good/{number}", "allow")}
 
 
+def test_url_branches_of_a_host_differ_without_given_labels(spark):
+    rows = [(i, f"http://h.net/go/{i}?to={'casino' if i % 4 else 'home'}") for i in range(100)]
+    rows += [(100 + i, f"http://h.net/news/{i}?to={'home' if i % 4 else 'casino'}") for i in range(100)]
+    got = url_templates.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert {(r["template"], r["verdict"]) for r in got} == {
+        ("h.net/go/{number}", "block"), ("h.net/news/{number}", "allow")}
+
+
 # ---- 8 personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
