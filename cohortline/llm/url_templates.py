@@ -2,7 +2,8 @@
 
 Per host, the segments of a path are levels of a tree. Segments that vary by their form
 (numbers, dates, hex strings, long mixed ids) become typed wildcards. Level by level, rare
-children of a node with many children become the wildcard ``*``, and labelled siblings
+children of a node with many children become the wildcard ``*`` unless their labels differ
+significantly from the rest of the node's, and labelled siblings
 whose share of good pages does not differ significantly from the rest of their node's are
 merged into one branch ``~``. The paths that are left are the templates. A template whose smoothed
 share of good labelled pages, (good + s * prior) / (labelled + s), is under a threshold is
@@ -18,7 +19,7 @@ path starts with the rule's; the longest rule wins.
 Defined results: host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 A-Z in lower case, path what follows up to ``?``, ``#`` or the end; a null URL or one without
 ``://`` has both empty, and is judged as the page of an empty host; empty segments are dropped;
-segments after level ``DEPTH`` count as one; repeated rows each get a verdict and count each;
+the tree is as deep as the longest path; repeated rows each get a verdict and count each;
 extra columns are ignored; an empty table stays empty.
 """
 
@@ -48,7 +49,6 @@ BAD_HOST_WORDS = (
     "porn", "sex", "spam", "torrent", "track", "tracker", "viagra", "warez", "xxx",
 )
 
-DEPTH = 4                 # levels of the tree; the rest of a path is its last level's tail
 MANY_CHILDREN = 50        # a node with more children has its rare ones generalised
 RARE_SHARE = 0.02         # a child with a smaller share of the node's pages is rare
 SIMILAR_Z = 1.96          # two shares closer than this many standard errors are alike
@@ -94,12 +94,13 @@ def _generalised(segment: Column) -> Column:
     return out
 
 
-def segments(path: Column) -> list[Column]:
-    """The DEPTH levels of a path; levels it lacks are empty."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    levels = [F.coalesce(_generalised(F.get(parts, F.lit(i))), F.lit("")) for i in range(DEPTH)]
-    tail = F.when(F.size(parts) > DEPTH, F.concat(levels[-1], F.lit("/..."))).otherwise(levels[-1])
-    return [*levels[:-1], tail]
+def _parts(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def segments(path: Column) -> Column:
+    """The generalised segments of a path."""
+    return F.transform(_parts(path), _generalised)
 
 
 def word_label(name: Column, words: Sequence[str] = BAD_HOST_WORDS) -> Column:
@@ -109,12 +110,14 @@ def word_label(name: Column, words: Sequence[str] = BAD_HOST_WORDS) -> Column:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """Template of each (host, s0.., n, good, bad) row: adds ``template`` and ``purity``."""
-    keys = ["host", *[f"s{i}" for i in range(DEPTH)]]
-    table = paths
-    for d in range(DEPTH):
-        node = ["host", *[f"t{i}" for i in range(d)]]
-        children = table.groupBy(*node, f"s{d}").agg(F.sum("n").alias("c_n"), F.sum("good").alias("c_good"),
+    """Template of each (host, segments, n, good, bad) row: adds ``template`` and ``purity``."""
+    table = paths.withColumn("t", F.expr("cast(array() as array<string>)"))
+    done, d = None, 0
+    while True:
+        # a path that ends here is the child "" of its node, and goes no further
+        node = ["host", "t"]
+        table = table.withColumn("s", F.coalesce(F.get("segments", F.lit(d)), F.lit("")))
+        children = table.groupBy(*node, "s").agg(F.sum("n").alias("c_n"), F.sum("good").alias("c_good"),
                                                      F.sum("bad").alias("c_bad"))
         nodes = children.groupBy(*node).agg(F.count("*").alias("kids"), F.sum("c_n").alias("a_n"),
                                             F.sum("c_good").alias("a_good"), F.sum("c_bad").alias("a_bad"))
@@ -126,15 +129,22 @@ def templates(paths: DataFrame) -> DataFrame:
         # no labels on one side: nothing shows that the branches are alike
         alike = F.when((labelled > 0) & (others > 0), F.abs(share - rest) <= SIMILAR_Z * error).otherwise(False)
         rare = (F.col("kids") > MANY_CHILDREN) & (F.col("c_n") < RARE_SHARE * F.col("a_n"))
-        name = F.when(F.col(f"s{d}") == "", "").when(rare, "*").when(alike, "~").otherwise(F.col(f"s{d}"))
-        decided = children.join(nodes, node).select(*node, f"s{d}", name.alias(f"t{d}"))
-        table = saved(table.join(decided, [*node, f"s{d}"]))   # else each level triples the plan
-    template = F.concat_ws("/", "host", F.array_join(F.filter(
-        F.array(*[F.col(f"t{i}") for i in range(DEPTH)]), lambda s: s != ""), "/"))
-    table = table.withColumn("template", template)
+        # a rare child that differs from the rest keeps its name
+        pooled_rare = rare & ((labelled == 0) | (others == 0) | alike)
+        name = F.when(F.col("s") == "", "").when(pooled_rare, "*").when(alike, "~").otherwise(F.col("s"))
+        decided = children.join(nodes, node).select(*node, "s", name.alias("name"))
+        table = saved(table.join(decided, [*node, "s"]).withColumn(   # else each level triples the plan
+            "t", F.when(F.col("name") == "", F.col("t")).otherwise(F.array_append("t", F.col("name")))).drop("name", "s"))
+        d += 1
+        ended = table.filter(F.size("segments") <= d - 1)
+        done = ended if done is None else done.unionByName(ended)
+        table = table.filter(F.size("segments") > d - 1)
+        if table.isEmpty():
+            break
+    table = done.withColumn("template", F.concat_ws("/", "host", F.array_join("t", "/")))
     purity = table.groupBy("template").agg(
         ((F.sum("good") + STRENGTH * PRIOR) / (F.sum("good") + F.sum("bad") + STRENGTH)).alias("purity"))
-    return table.join(purity, "template").select(*keys, "template", "purity")
+    return table.join(purity, "template").select("host", "segments", "template", "purity")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: DataFrame | None = None,
@@ -151,13 +161,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labels: Da
                         F.coalesce(word_label(words), F.when(words.isNotNull(), 1)).alias("__seed"))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "__action": action})
-    rows = rows.withColumns({f"s{i}": s for i, s in enumerate(segments(F.col("path")))})
+    rows = rows.withColumn("segments", segments(F.col("path")))
     label = F.when(F.col("__action") == "block", 0).when(F.col("__action") == "allow", 1)
     label = F.coalesce(label, F.when(F.col("__seed") == 0, 0) if labels is not None else F.col("__seed"))
     if labels is not None:
         rows = rows.join(labels.select(col(id_col), F.col("good").alias("__good")), id_col, "left")
         label = F.coalesce(F.col("__good"), label)
-    keys = ["host", *[f"s{i}" for i in range(DEPTH)]]
+    keys = ["host", "segments"]
     counts = rows.withColumn("__label", label).groupBy(*keys).agg(
         F.count("*").alias("n"), F.count_if(F.col("__label") == 1).alias("good"),
         F.count_if(F.col("__label") == 0).alias("bad"))

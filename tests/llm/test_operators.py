@@ -272,6 +272,15 @@ def test_url_branches_of_a_host_differ_without_given_labels(spark):
         ("h.net/go/{number}", "block"), ("h.net/news/{number}", "allow")}
 
 
+def test_url_tree_is_as_deep_as_the_paths_and_keeps_rare_bad_branches(spark):
+    rows = [(i, f"http://h.net/en/2024/05/12/{'spam' if i % 2 else 'news'}/a/{i}") for i in range(200)]
+    rows += [(200 + i, f"http://k.net/c{'' if i < 19 else chr(97 + i % 23) + chr(97 + i % 51 // 2)}x/{i}"
+              + ("?q=casino" if i < 19 else "")) for i in range(1_200)]
+    got = {r["page_id"]: r for r in url_templates.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert all(got[i]["verdict"] == ("block" if i % 2 else "allow") for i in range(200))
+    assert all(got[200 + i]["verdict"] == ("block" if i < 19 else "allow") for i in range(1_200))
+
+
 # ---- 8 personal data
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
