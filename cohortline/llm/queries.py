@@ -10,14 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, quality_pu, sharding,
-                            suffix_repetition, url_templates)
-from cohortline.llm.common import table
+from cohortline.llm import (bpe, chosen_path, exact_dedup, fill_middle, license_scan, mixing, pii, quality_pu,
+                            sentence_pieces, sharding, suffix_repetition, url_templates, vector_codes)
+from cohortline.llm.common import saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -157,3 +158,82 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = quality_pu.fit(docs, table(spark, sf_dir, "labels"))
     return quality_pu.score(docs, network).select(
         "doc_id", (quality_pu.fold("doc_id") == quality_pu.HELD_OUT).alias("held_out"), "score", "predicted")
+
+
+@query("op11_fill_middle", r"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS whole, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+               sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    drawn AS (
+        SELECT doc_id, whole, units, len(units) AS n,
+               ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+               ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM cut),
+    formed AS (
+        SELECT doc_id, whole, n, units, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN whole = '' OR contains(whole, '<P>') OR contains(whole, '<S>') OR contains(whole, '<M>')
+                         OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    pieces AS (
+        SELECT doc_id, whole, n, form, coalesce(array_to_string(units[1:a], ''), '') AS p,
+               coalesce(array_to_string(units[a + 1:b], ''), '') AS m, coalesce(array_to_string(units[b + 1:], ''), '') AS s
+        FROM formed)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN whole WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(whole) AS restored_sha256 FROM pieces""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    return fill_middle.transform(docs).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fill_middle.restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+@query("op12_sentence_pieces")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_pieces.encode(docs, PIECE_MODEL, decoded=True).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def _vector_sql(rounds: int = 4) -> str:
+    """Lists hold whole numbers as doubles, exact far beyond these sums."""
+    nearest = lambda book: f"""(SELECT vec_id, p, min((xx - 2 * list_dot_product(q, b) + bb) * 256 + e)::BIGINT AS best
+        FROM parts JOIN (SELECT *, list_dot_product(b, b) AS bb FROM {book}) USING (p) GROUP BY vec_id, p)"""
+    steps = "".join(f""",
+    near{k} AS MATERIALIZED {nearest(f"book{k}")},
+    book{k + 1} AS MATERIALIZED (
+        SELECT p, e, coalesce(moved, b) AS b FROM book{k} LEFT JOIN (
+            SELECT p, e, list(mean ORDER BY pos) AS moved FROM (
+                SELECT p, best % 256 AS e, pos, floor(sum(q[pos]) / count(*)) AS mean
+                FROM near{k} JOIN parts USING (vec_id, p), unnest(range(1, len(q) + 1)) r(pos) GROUP BY ALL)
+            GROUP BY p, e) USING (p, e))""" for k in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT *, list_dot_product(q, q) AS xx FROM (
+            SELECT vec_id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS q FROM kept, unnest(range(4)) r(p))),
+    book0 AS MATERIALIZED (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, q AS b FROM parts
+        WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)){steps},
+    coded AS MATERIALIZED (
+        SELECT vec_id, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error
+        FROM {nearest(f"book{rounds}")} GROUP BY vec_id)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+           (SELECT sha256(string_agg(b[pos]::BIGINT::VARCHAR, ',' ORDER BY p, e, pos))
+            FROM book{rounds}, unnest(range(1, len(b) + 1)) r(pos)) AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id)"""
+
+
+@query("op13_vector_codes", _vector_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.fit(vectors)
+    coded = saved(vector_codes.encode(vectors, books).select("vec_id", "label", F.lower(F.hex("code")).alias("code"), "error"))
+    return vector_codes.with_sums(coded, "label", "error", "label_error").select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
