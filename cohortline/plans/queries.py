@@ -221,6 +221,16 @@ def src_csv_strings(spark, d):
     return prep_ops.normalize_icd(read_csv(spark, path), "diagnoses")
 
 
+@query("src_csv_multiline", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
+def src_csv_multiline(spark, d):
+    """A3, A4: whole texts, newlines and quotes included, in one plain CSV file read by its splits."""
+    path = f"{scratch_dir(spark, 'csv')}/documents.csv"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    docs.coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
+    return read_csv(spark, path)
+
+
 @query("src_parquet", O.with_views(["labevents"], "SELECT * FROM labevents"))
 def src_parquet(spark, d):
     """Parquet read conformed to the declared schema."""

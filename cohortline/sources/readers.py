@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortline.sources import files
+from cohortline.sources import csv_records, files
 
 # Accepted suffixes in priority order.
 SUFFIXES = (".csv.gz", ".csv", ".parquet")
@@ -83,12 +83,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, multiline: bool = True) -> DataFrame:
     """CSV with header; ``"`` escapes ``"`` (T6). Text columns unless a schema is
     declared (cast by name) or ``infer`` asks for an inference pass. Quoted fields may
-    hold newlines; ``multiline=False`` gives that up and lets a plain file be split."""
-    reader = (spark.read.option("header", "true").option("escape", '"')
-              .option("multiLine", "true" if multiline else "false"))
+    hold newlines: a plain file is read by many tasks all the same (``csv_records``), a
+    gzipped one is a task by nature. ``multiline=False`` saves the look at the quotes."""
+    reader = spark.read.option("header", "true").option("escape", '"')
     if schema is None and infer:
-        return reader.option("inferSchema", "true").csv(path)
-    df = reader.csv(path)
+        return reader.option("multiLine", str(multiline).lower()).option("inferSchema", "true").csv(path)
+    if multiline and not path.endswith(".gz"):
+        df = csv_records.read(spark, path)
+    else:
+        df = reader.option("multiLine", str(multiline).lower()).csv(path)
     return conform(df, schema) if schema is not None else df
 
 
