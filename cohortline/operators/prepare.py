@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.icd import icd_diagnosis_dot, icd_procedure_dot
+from cohortline.functions.times import parse_time
 from cohortline.operators.joins import lookup_join
 
 
@@ -29,13 +30,26 @@ def death_times(admissions: DataFrame) -> DataFrame:
     return admissions.groupBy("subject_id").agg(F.min("deathtime").alias("deathtime"))
 
 
+# The text formats of a death time, in order.
+DEATH_FORMATS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d"]
+
+
+def _comparable(joined: DataFrame, name: str) -> Column:
+    types = {joined.schema[n].dataType for n in ("deathtime", "dod")}
+    if len(types) == 1:
+        return F.col(name)
+    return parse_time(F.col(name), DEATH_FORMATS, joined.schema[name].dataType)
+
+
 def fix_static(patients: DataFrame, admissions: DataFrame) -> DataFrame:
     """Patients with death time (coalesce of in-hospital death and ``dod``) and a
-    year of birth ``anchor_year - anchor_age`` as text (C2, H4, H5)."""
+    year of birth ``anchor_year - anchor_age`` as text (C2, H4, H5). Where one of the two
+    files has typed times and the other text, both become times."""
     joined = lookup_join(patients, death_times(admissions), "subject_id", "left")
+    in_hospital, dod = (_comparable(joined, n) for n in ("deathtime", "dod"))
     return joined.select(
         "subject_id",
-        F.coalesce(F.col("deathtime"), F.col("dod")).alias("dod"),
+        F.coalesce(in_hospital, dod).alias("dod"),
         (F.col("anchor_year") - F.col("anchor_age")).cast("string").alias("year_of_birth"),
         "gender",
     )

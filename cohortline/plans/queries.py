@@ -537,6 +537,24 @@ def event_time_parse(spark, d):
                       parse_time(F.col("admittime"), "%Y-%m-%d %H:%M:%S", adm.schema["admittime"].dataType).alias("time"))
 
 
+@query("event_time_native", """
+SELECT DISTINCT subject_id, time, code FROM (
+  SELECT user_id AS subject_id, date_trunc('second', ts) + INTERVAL (200 * k) MILLISECOND AS time,
+    'MEDICATION//' || event_type || '//UNK' AS code
+  FROM events, unnest([1, 2]) r(k))""")
+def event_time_native(spark, d):
+    """H9, K0, AG2: times that a Parquet file holds typed keep their fractions, so that events
+    0.2 s apart are two, before and after duplicates go."""
+    root = scratch_dir(spark, "raw")
+    events = spark.read.parquet(f"{d}/events.parquet")
+    whole = F.date_trunc("second", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz")
+    typed = events.select(F.col("user_id").alias("subject_id"), F.col("event_type").alias("medication"),
+                          F.explode(F.array(*[whole + F.expr(f"INTERVAL '0.{2 * k}' SECOND") for k in (1, 2)])).alias("charttime"))
+    typed.write.parquet(f"{root}/hosp/emar.parquet")
+    emar = read_table(spark, root, "hosp/emar", RAW["hosp/emar"])
+    return cohort_ops.dedupe(extract_events(emar, EVENTS["hosp/emar"]).select("subject_id", "time", "code"))
+
+
 @query("event_time_multi_format", O.with_views(["patients_prepared"], f"""
 SELECT subject_id, dod, {O.time_sql('dod', ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d'])} AS time FROM patients_prepared"""))
 def event_time_multi_format(spark, d):

@@ -54,8 +54,14 @@ def discover_prefixes(spark: SparkSession, input_dir: str) -> list[str]:
     return sorted(found)
 
 
+TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True, add_absent: bool = True) -> DataFrame:
-    """Declared columns by name with declared types; absent ones as typed nulls, or left out."""
+    """Declared columns by name with declared types; absent ones as typed nulls, or left out.
+
+    Dates and times are declared as text, for that is what CSV holds. A file that has them typed
+    keeps its type: time parsing passes it through, all else casts."""
     current_schema = df.schema  # one JVM round trip
     current_types = {f.name: f.dataType for f in current_schema.fields}
     cols = []
@@ -65,9 +71,10 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True, add_ab
             current = current_types[f.name]
             if current == f.dataType:
                 cols.append(src.alias(f.name))
-            elif isinstance(f.dataType, T.StringType) and isinstance(current, (T.TimestampType, T.TimestampNTZType)):
-                # declared text times are whole seconds; a fraction must not lose the event
-                cols.append(F.date_format(src, "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            elif isinstance(f.dataType, T.StringType) and isinstance(current, TEMPORAL):
+                # a typed file's times stay what they are, fractions of seconds included
+                cols.append(src.cast("timestamp_ntz").alias(f.name) if isinstance(current, T.TimestampType)
+                            else src.alias(f.name))
             elif isinstance(f.dataType, T.StringType):
                 cols.append(src.cast("string").alias(f.name))
             else:

@@ -138,3 +138,26 @@ def test_static_kept_dynamic_null_dropped(spark):
 def test_every_table_compiles_on_empty_input(spark, prefix):
     df = spark.createDataFrame([], RAW[prefix])
     assert extract_events(df, EVENTS[prefix]).count() == 0
+
+
+def test_typed_times_keep_fractions(spark):
+    """Times that a file has typed reach the events as they are, whatever their type."""
+    rows = [(1, "2020-01-01 00:00:00.2"), (1, "2020-01-01 00:00:00.7"), (2, None)]
+    text = spark.createDataFrame(rows, "subject_id long, t string").withColumn("medication", F.lit("x"))
+    for kind, times in (("timestamp_ntz", {200_000, 700_000}), ("timestamp", {200_000, 700_000}), ("date", {0})):
+        typed = conform(text.withColumn("charttime", F.col("t").cast(kind)).drop("t"), RAW["hosp/emar"])
+        out = extract_events(typed, EVENTS["hosp/emar"]).dropDuplicates().collect()
+        assert {r["time"].microsecond for r in out} == times and len(out) == len(times)
+
+
+def test_death_time_of_typed_and_text_files(spark):
+    from cohortline.operators.prepare import fix_static
+
+    admissions = spark.createDataFrame([(1, "2020-01-02 03:04:05.5"), (2, None)], "subject_id long, deathtime string")
+    admissions = admissions.withColumn("deathtime", F.col("deathtime").cast("timestamp_ntz"))
+    patients = spark.createDataFrame([(1, "F", 30, 2150, "2020-01-03"), (2, "M", 40, 2150, "2021-05-06"), (3, "M", 1, 2150, "odd")],
+                                     "subject_id long, gender string, anchor_age int, anchor_year int, dod string")
+    out = {r["subject_id"]: r["dod"] for r in fix_static(patients, admissions).collect()}
+    assert out == {1: T(2020, 1, 2, 3, 4, 5, 500_000), 2: T(2021, 5, 6), 3: None}
+    dated = patients.withColumn("dod", F.expr("try_cast(dod AS date)"))
+    assert {r["subject_id"]: r["dod"] for r in fix_static(dated, admissions).collect()} == out
