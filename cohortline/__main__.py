@@ -12,6 +12,7 @@ import argparse
 import json
 import logging
 
+from cohortline.operators.cohort import ROWS_PER_TASK
 from cohortline.operators.subjects import DEFAULT_SEED, SUBJECTS_PER_SHARD
 from cohortline.plans import etl
 from cohortline.plans.event_spec import EVENTS
@@ -30,16 +31,15 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--seed", type=int, default=DEFAULT_SEED, help="seed of the subject split hash")
     parser.add_argument("--subjects-per-shard", type=int, default=SUBJECTS_PER_SHARD,
                         help="subjects per output shard")
-    parser.add_argument("--cohort-strategy", default="dedupe_then_range",
-                        choices=["dedupe_then_range", "range_only"],
-                        help="exchanges of the cohort write (see operators/cohort.finalize)")
+    parser.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK,
+                        help="most events a task of the cohort write should take")
     parser.add_argument("--events", default=None, metavar="FILE",
                         help="JSON event specification in place of the built-in one (table -> event -> fields)")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    if args.subjects_per_shard < 1:
-        parser.error("--subjects-per-shard must be a positive integer")
+    if args.subjects_per_shard < 1 or args.rows_per_task < 1:
+        parser.error("--subjects-per-shard and --rows-per-task must be positive integers")
     spec = EVENTS
     if args.events:
         with open(args.events, encoding="utf-8") as f:
@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     spark = get_session(args.master)
     paths = etl.run(spark, args.input_dir, args.output_dir, dataset_name=args.dataset_name,
                     dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard, spec=spec,
-                    cohort_strategy=args.cohort_strategy)
+                    rows_per_task=args.rows_per_task)
     print(json.dumps(paths))
     return paths
 

@@ -1,83 +1,33 @@
-"""Equi-joins against lookup sides whose size is checked before broadcasting.
+"""Equi-joins against lookup tables.
 
-A lookup side is broadcast only when its size is known to fit under the session's
-broadcast threshold. Otherwise the join shuffles. Rows whose key is null can never
-match, but would all hash into one partition, so they are salted: the join runs on
-``(key, salt)`` where a null-key row gets a salt in 1..N from a hash of the row and
-every lookup row has salt 0. The null rows spread over the partitions, still never
-match, and the input is scanned once. Skew on non-null keys is left to adaptive
-execution's skew-join splitting.
+Broadcasting, shuffling and skewed keys are the optimizer's and adaptive execution's choice. One
+thing neither does: in a left join, rows whose key is null can never match, but all hash into one
+partition. They are salted: the join runs on ``(key, salt)`` where a null-key row gets a salt in
+1..N from a hash of the row and every lookup row has salt 0. The null rows spread over the
+partitions, still never match, and the input is scanned once.
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def broadcast_limit(spark) -> int:
-    """The session's broadcast threshold in bytes (-1 disables broadcasting)."""
-    raw = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "").strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", raw)
-    if not m:
-        return 10 << 20
-    value, unit = int(m.group(1)), m.group(2) or "b"
-    return value * _UNITS.get(unit, 1) if value >= 0 else -1
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (no job runs); None when unavailable."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
-        size = stats.sizeInBytes()
-        return int(size) if isinstance(size, int) else int(size.toString())
-    except Exception:
-        return None
-
-
-# Catalyst sizes a Parquet scan by its (compressed) file bytes; rows in a broadcast
-# hash relation take several times that. The estimate is scaled by this factor.
-IN_MEMORY_FACTOR = 4
-
-
-def fits_broadcast(df: DataFrame, size_bytes: int | None = None) -> bool:
-    """Whether ``df`` may be broadcast: an exact size in bytes when the caller
-    knows one, otherwise Catalyst's estimate scaled to in-memory size."""
-    limit = broadcast_limit(df.sparkSession)
-    if size_bytes is None:
-        estimate = estimated_bytes(df)
-        size_bytes = None if estimate is None else estimate * IN_MEMORY_FACTOR
-    return limit >= 0 and size_bytes is not None and size_bytes <= limit
-
-
 # Partitions the null-key rows of a shuffled left join are spread over.
 NULL_KEY_SPREAD = 1024
 _SALT = "_null_salt"
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left",
-                right_bytes: int | None = None) -> DataFrame:
-    """``left JOIN right USING (on)`` for a lookup ``right`` (left or inner join)."""
-    if how not in ("left", "inner"):
-        raise ValueError("lookup_join supports left and inner joins")
-    if fits_broadcast(right, right_bytes):
-        return left.join(F.broadcast(right), on, how)
-    if how == "inner":
-        return left.join(right, on, how)  # null keys are filtered before the exchange
-    key: Column = F.col(on)
+def lookup_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """``left LEFT JOIN right USING (on)`` for a lookup ``right``."""
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    salt = F.when(key.isNull(), F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)) + 1).otherwise(F.lit(0))
-    salted = left.withColumn(_SALT, salt)
+    salt = F.when(F.col(on).isNull(), F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)) + 1).otherwise(F.lit(0))
     # The lookup's salt is 0 but must not be foldable: Catalyst would turn
     # "salt = 0" into a filter, drop it from the join keys, and null keys would
     # hash together again. pmod(hash, 1) is 0 for every row and is not folded.
     right_salt = F.pmod(F.xxhash64(F.col(on)), F.lit(1))
-    return salted.join(right.withColumn(_SALT, right_salt), [on, _SALT], how).drop(_SALT)
+    return left.withColumn(_SALT, salt).join(right.withColumn(_SALT, right_salt), [on, _SALT], "left").drop(_SALT)
 
 
 def union_all(frames: list[DataFrame], allow_missing: bool = True) -> DataFrame:

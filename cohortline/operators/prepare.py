@@ -18,7 +18,7 @@ def add_discharge_time(df: DataFrame, admissions: DataFrame,
     are later dropped by the null-time rule).
     """
     lookup = admissions.select("hadm_id", F.col("dischtime").alias(out_column))
-    return lookup_join(df, lookup, "hadm_id", "left")
+    return lookup_join(df, lookup, "hadm_id")
 
 
 def death_times(admissions: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def fix_static(patients: DataFrame, admissions: DataFrame) -> DataFrame:
     """Patients with death time (coalesce of in-hospital death and ``dod``) and a
     year of birth ``anchor_year - anchor_age`` as text (C2, H4, H5). Where one of the two
     files has typed times and the other text, both become times."""
-    joined = lookup_join(patients, death_times(admissions), "subject_id", "left")
+    joined = lookup_join(patients, death_times(admissions), "subject_id")
     in_hospital, dod = (_comparable(joined, n) for n in ("deathtime", "dod"))
     return joined.select(
         "subject_id",

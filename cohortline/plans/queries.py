@@ -95,6 +95,18 @@ def _shards(spark, d, keep_rank=False) -> DataFrame:
     return subject_ops.assign_shards(_subjects(spark, d), keep_rank=keep_rank)
 
 
+def _placement(spark, d, out: str) -> cohort_ops.Placement:
+    """Tasks of the cohort write over the fixture tables."""
+    tables = _fixture_spec()
+    sizes = subject_ops.subject_sizes([(fx.RAW_FIXTURES[p](spark, d), len(events)) for p, events in tables.items()])
+    sizes = spark.read.parquet(write_parquet(sizes, f"{out}/sizes"))
+    splits = spark.read.parquet(write_parquet(subject_ops.assign_shards(sizes), f"{out}/metadata/subject_splits.parquet"))
+    sized = spark.read.parquet(write_parquet(sizes.join(splits, "subject_id"), f"{out}/sized"))
+    times = lambda: union_all(
+        [e.select("subject_id", "time") for e in _table_events(spark, d, ["subject_id", "time"]).values()])
+    return cohort_ops.place(sized, times, f"{out}/placement")
+
+
 def _dictionaries(spark, d) -> dict[str, DataFrame]:
     return {
         "hosp/d_icd_diagnoses": prep_ops.normalize_icd(fx.d_icd_diagnoses(spark, d), "diagnoses"),
@@ -138,17 +150,22 @@ _SUBJECTS_SQL = "SELECT DISTINCT subject_id FROM (" + " UNION ALL ".join(
     f"SELECT CAST(subject_id AS BIGINT) AS subject_id FROM {t}" for t in SUBJECT_TABLES
 ) + ") WHERE subject_id IS NOT NULL"
 
-_SHARDS_SQL = f"""
-SELECT subject_id, split, rank, CAST(floor((rank - 1) / 1000) AS INTEGER) AS shard FROM (
+
+def _shards_sql(seed: int = subject_ops.DEFAULT_SEED, n: int = subject_ops.SUBJECTS_PER_SHARD) -> str:
+    return f"""
+SELECT subject_id, split, rank, CAST(floor((rank - 1) / {n}) AS INTEGER) AS shard FROM (
   SELECT subject_id, split, row_number() OVER (PARTITION BY split ORDER BY h, subject_id) AS rank FROM (
     SELECT subject_id, h,
       CASE WHEN CAST(h AS DOUBLE) / CAST(4294967296 AS DOUBLE) < CAST(0.8 AS DOUBLE) THEN 'train'
            WHEN CAST(h AS DOUBLE) / CAST(4294967296 AS DOUBLE) < CAST(0.9 AS DOUBLE) THEN 'tuning'
            ELSE 'held_out' END AS split
-    FROM (SELECT subject_id, ('0x' || substr(md5(CAST(subject_id AS VARCHAR) || ':42'), 1, 8))::BIGINT AS h
+    FROM (SELECT subject_id, ('0x' || substr(md5(CAST(subject_id AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT AS h
           FROM ({_SUBJECTS_SQL}))))"""
 
 
+_SHARDS_SQL = _shards_sql()
+
+
 def _events_view_sql(table: str, view: str, columns=None) -> str:
     return O.events_sql(view, EVENTS[table], columns)
 
@@ -261,10 +278,7 @@ SELECT DISTINCT e.*, s.split, s.shard FROM ({_COHORT_SQL}) e JOIN ({_SHARDS_SQL}
 def cohort_sharded(spark, d):
     """The cohort written by split and shard, deduplicated and sorted, read back."""
     out = scratch_dir(spark, "cohort")
-    splits_path = write_parquet(_shards(spark, d), f"{out}/metadata/subject_splits.parquet")
-    splits = spark.read.parquet(splits_path)
-    path = write_cohort(subject_ops.attach_shards(_cohort_events(spark, d), splits, shard_rows=splits.count()), out)
-    return spark.read.parquet(path)
+    return spark.read.parquet(write_cohort(_cohort_events(spark, d), _placement(spark, d, out), out))
 
 
 @query("code_catalog", O.with_views(_COHORT_VIEWS + ["d_icd_diagnoses", "d_labitems_to_loinc"], f"""
@@ -431,6 +445,16 @@ def subject_shard_join(spark, d):
     return subject_ops.attach_shards(events, shards).select("subject_id", "time", "code", "split", "shard")
 
 
+@query("subject_shard_join_seeded", O.with_views(["patients_prepared", *SUBJECT_TABLES], f"""
+SELECT e.subject_id, e.time, e.code, s.split, s.shard
+FROM ({_events_view_sql('hosp/patients', 'patients_prepared')}) e JOIN ({_shards_sql(7, 300)}) s ON e.subject_id = s.subject_id"""))
+def subject_shard_join_seeded(spark, d):
+    """C4: the same under another seed and shard size."""
+    events = extract_events(_prepared_patients(spark, d), EVENTS["hosp/patients"])
+    shards = subject_ops.assign_shards(_subjects(spark, d), n_per_shard=300, seed=7)
+    return subject_ops.attach_shards(events, shards).select("subject_id", "time", "code", "split", "shard")
+
+
 # ------------------------------------------------------------- AG: aggregates
 
 @query("death_time_min", O.with_views(["death_times"], "SELECT * FROM death_times"))

@@ -52,27 +52,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return ensure_conf(spark)
 
 
-# Target bytes of shuffle data per task before adaptive coalescing.
-SHUFFLE_TARGET_BYTES = 128 << 20
-SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, expansion: float = 2.0) -> int:
-    """Size the initial shuffle partition count from the input size.
-
-    The event table is about ``expansion`` times the (compressed) input once
-    decoded and fanned out; each shuffle task should receive about
-    SHUFFLE_TARGET_BYTES, and adaptive execution coalesces what turns out smaller.
-    A value the user set (anything but Spark's default 200) is left alone.
-    """
-    current = spark.conf.get("spark.sql.shuffle.partitions", SPARK_DEFAULT_SHUFFLE_PARTITIONS)
-    if current != SPARK_DEFAULT_SHUFFLE_PARTITIONS:
-        return int(current)
-    wanted = max(int(current), int(input_bytes * expansion // SHUFFLE_TARGET_BYTES) + 1)
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

@@ -11,22 +11,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.schemas import DICTIONARIES, ITEM_KEY, RAW
-from cohortline.sources.readers import conform, spread
+from cohortline.sources import files
+from cohortline.sources.readers import conform
 
 
 _TABLES: dict[tuple, DataFrame] = {}
+# Smaller driver tables are not worth an exchange.
+DEALT_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the DataFrame (plan only, no data) is reused within a session
-    so that building a query does not list and open the same files again."""
+    so that building a query does not list and open the same files again. Each driver table is a
+    single row group, one task however large, so its rows are dealt out to all cores."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # Spark Connect: no context on the client
         app = spark.conf.get("spark.app.id", "")
     key = (id(spark), app, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
-        _TABLES[key] = spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        df = spark.read.parquet(path)
+        _TABLES[key] = df if files.size(spark, path) < DEALT_BYTES else df.repartition(spark.sparkContext.defaultParallelism)
     return _TABLES[key]
 
 

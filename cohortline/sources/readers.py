@@ -102,39 +102,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return conform(df, schema) if schema is not None else df
 
 
-# Inputs smaller than this are not worth a shuffle, however few their splits.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, size_bytes: int | None = None) -> DataFrame:
-    """Round-robin an input that has fewer splits than the cluster has cores.
-
-    A Parquet row group (or a gzipped file) is one task however large; a table
-    stored as one row group would run every later narrow step (joins against
-    broadcast lookups, event fan-out, map-side aggregation) in a single task.
-    Large inputs with many splits - the normal case at scale - are left alone,
-    so this adds no shuffle there.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:  # no JVM gateway (Spark Connect): leave the input as it is
-        return df
-    if splits >= cores:
-        return df
-    if size_bytes is None:
-        from cohortline.operators.joins import estimated_bytes
-        size_bytes = estimated_bytes(df) or 0
-    if size_bytes < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
-
-
 def read_table(spark: SparkSession, input_dir: str, prefix: str, schema: T.StructType | None = None,
                infer: bool = False, columns: list[str] | None = None, add_absent: bool = True) -> DataFrame:
     """The table ``prefix`` in whichever format wins (A1); ``columns`` prunes (A5)."""
     path, fmt = resolve_prefix(spark, input_dir, prefix)
-    df = spread(spark.read.parquet(path)) if fmt == "parquet" else read_csv(
+    df = spark.read.parquet(path) if fmt == "parquet" else read_csv(
         spark, path, infer=infer and schema is None)
     df = conform(df, schema, add_absent=add_absent) if schema is not None else df
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df

@@ -28,42 +28,8 @@ def test_helpers_with_and_without_gateway(spark, tmp_path_factory):
         assert open(out).read() == '{"k": 1}'
 
 
-def test_size_shuffles_respects_user_setting(spark):
-    from cohortline.session import size_shuffles
-
-    assert size_shuffles(spark, 10 << 40) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "200")
-        assert size_shuffles(spark, 100 << 30) == 1601
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "1601"
-        spark.conf.set("spark.sql.shuffle.partitions", "200")
-        assert size_shuffles(spark, 1 << 20) == 200
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
 def test_landing_parts():
     from cohortline.sources.sinks import landing_parts
 
     assert landing_parts(0) == 1
     assert landing_parts(25 << 30) == 800   # a 25 GB gzip expands about 4x
-
-
-def test_spread_only_large_unsplittable_inputs(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from cohortline.sources.readers import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    big = str(tmp_path / "big.parquet")
-    # one file, one row group, a few MB of incompressible text
-    spark.range(60000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1) \
-        .write.option("parquet.block.size", str(1 << 30)).parquet(big)
-    df = spark.read.parquet(big)
-    assert df.rdd.getNumPartitions() < cores
-    assert spread(df).rdd.getNumPartitions() == cores
-    small = spark.read.parquet(big).limit(10)
-    assert spread(small, size_bytes=100).rdd.getNumPartitions() == small.rdd.getNumPartitions()
-    many = spark.range(0, 10, 1, cores * 2)
-    assert spread(many, size_bytes=1 << 30).rdd.getNumPartitions() == cores * 2

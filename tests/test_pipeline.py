@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from cohortline.operators import cohort as cohort_ops
 from cohortline.operators.joins import lookup_join
+from cohortline.session import scratch_dir
 from cohortline.plans import etl
 from cohortline.sources import fixtures as fx
 from cohortline.sources.readers import discover_prefixes, read_table, resolve_prefix
@@ -110,27 +112,60 @@ def test_catalogue_keeps_observed_codes(spark, built):
     assert diag is not None and diag["parent_codes"][0].startswith("ICD9CM/E")
 
 
-def test_finalize_uses_hash_then_range_exchange(spark):
-    df = spark.createDataFrame([(1, "a", "s", 0)], "subject_id bigint, code string, split string, shard int") \
-        .withColumn("time", F.lit(None).cast("timestamp_ntz"))
-    plan = cohort_ops.finalize(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2 and "rangepartitioning" in plan
+def placed(spark, events, rows_per_task=cohort_ops.ROWS_PER_TASK):
+    """Placement of events that have split and shard already."""
+    sizes = events.groupBy("subject_id", "split", "shard").agg(F.count(F.lit(1)).alias("rows")).checkpoint()
+    return cohort_ops.place(sizes, lambda: events.select("subject_id", "time"), scratch_dir(spark, "placement"), rows_per_task)
 
 
-def test_finalize_strategies_agree(spark):
-    rows = [(1, "a", None), (1, "a", None), (2, "b", 5), (1, "c", 3), (2, "b", 5)]
-    # real columns, as after the shard join (constants would be folded out of the order)
-    df = spark.createDataFrame(rows, "subject_id bigint, code string, hadm_id bigint") \
-        .withColumn("time", F.timestamp_seconds(F.col("subject_id")).cast("timestamp_ntz")) \
-        .withColumn("split", F.when(F.col("subject_id") > 0, F.lit("train"))) \
-        .withColumn("shard", (F.col("subject_id") / 1000).cast("int"))
-    a = [tuple(r) for r in cohort_ops.finalize(df, "dedupe_then_range").collect()]
-    b = [tuple(r) for r in cohort_ops.finalize(df, "range_only").collect()]
-    assert a == b and len(a) == 3
-    plan = cohort_ops.finalize(df, "range_only")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    with pytest.raises(ValueError):
-        cohort_ops.finalize(df, "other")
+def with_shards(df):
+    return df.withColumn("split", F.when(F.col("subject_id") % 3 > 0, F.lit("train")).otherwise(F.lit("held_out"))).withColumn(
+        "shard", (F.col("subject_id") / 10).cast("int"))
+
+
+def test_finalize_has_one_exchange_and_removes_duplicates(spark):
+    rows = [(1, "a", None, 5), (1, "a", None, 5), (2, "b", 5, 0), (1, "c", 3, 7), (2, "b", 5, 0), (1, "c", 3, None), (1, "c", 3, None)]
+    df = with_shards(spark.createDataFrame(rows, "subject_id bigint, code string, hadm_id bigint, s long").withColumn(
+        "time", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s"))
+    events = df.drop("split", "shard")
+    out = cohort_ops.finalize(events, placed(spark, df))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", plan)) == 1 and plan.count("REPARTITION_BY_NUM") == 1
+    got = [tuple(r) for r in out.select(*df.columns).collect()]
+    assert sorted(got, key=str) == sorted(set(map(tuple, df.collect())), key=str)
+
+
+def test_events_are_exchanged_once(spark):
+    """With the subjects' places small enough to broadcast, the only exchange above the events is
+    that by task."""
+    from cohortline.plans import queries as Q
+
+    placement = Q._placement(spark, SF_SMALL, scratch_dir(spark, "t"))
+    from cohortline.operators.events import extract_events
+    from cohortline.plans.event_spec import EVENTS
+    events = extract_events(fx.labevents(spark, SF_SMALL), EVENTS["hosp/labevents"])
+    plan = cohort_ops.finalize(events, placement)._jdf.queryExecution().executedPlan().toString()
+    tree = plan.split("BroadcastHashJoin")[0]
+    assert "BroadcastHashJoin" in plan and tree.count("Exchange") == 1 and "REPARTITION_BY_NUM" in tree
+
+
+def test_tasks_have_equal_weight_and_the_cohort_order(spark):
+    events = with_shards(spark.range(40_000).select(
+        F.expr("CAST(floor(pow(rand(3), 3) * 200) AS BIGINT)").alias("subject_id"),
+        F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("time"), F.lit("c").alias("code")).checkpoint())
+    placement = placed(spark, events, 2_000)
+    out = cohort_ops.finalize(events.drop("split", "shard"), placement).withColumn("p", F.spark_partition_id())
+    rows = out.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("split", "shard", "subject_id")).alias("low"),
+                                F.max(F.struct("split", "shard", "subject_id")).alias("high")).orderBy("p").collect()
+    assert sum(r["n"] for r in rows) == 40_000 and placement.tasks == 20
+    assert max(r["n"] for r in rows) <= 2 * 2_000 + 2_000
+    assert all(a["high"] <= b["low"] for a, b in zip(rows, rows[1:]))
+
+
+def test_place_of_no_events(spark):
+    empty = spark.createDataFrame([], "subject_id bigint, split string, shard int, rows bigint")
+    placement = cohort_ops.place(empty, lambda: None, scratch_dir(spark, "placement"))
+    assert placement.tasks == 1 and placement.subjects.count() == 0
 
 
 def test_lookup_join_spreads_null_keys(spark):
@@ -194,25 +229,17 @@ def test_hot_subject_is_split_across_tasks(spark, tmp_path):
                                        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("time"),
                                        F.concat(F.lit("LAB//"), (F.col("id") % 5).cast("string")).alias("code"))
     events = cohort_ops.conform_events(hot.unionByName(rest))
-    # split must be a real column: a literal is dropped from the sort order, and the
-    # writer would then re-sort by its partition columns only (losing time order).
-    with_shards = events.withColumn("split", F.when(F.col("subject_id") >= 0, F.lit("train"))).withColumn(
+    split = events.withColumn("split", F.when(F.col("subject_id") >= 0, F.lit("train"))).withColumn(
         "shard", (F.col("subject_id") / 1000).cast("int"))
-    # AQE would merge this tiny data into one partition; at scale every range
-    # partition is already at the advisory size, so nothing is merged there.
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        out = cohort_ops.finalize(with_shards)
-        parts = out.select("subject_id", "time").withColumn("p", F.spark_partition_id())
-        hot_parts = parts.filter("subject_id = 7").select("p").distinct().count()
-        assert out.count() == n_hot + n_other
-        path = str(tmp_path / "data")
-        out.write.partitionBy("split", "shard").parquet(path)
-    finally:
-        spark.conf.set(key, old)
-    assert hot_parts >= 2
+    out = cohort_ops.finalize(events, placed(spark, split, 10_000))
+    parts = out.select("subject_id", "time").withColumn("p", F.spark_partition_id())
+    slices = parts.filter("subject_id = 7").groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.min("time").alias("low"), F.max("time").alias("high")).orderBy("low").collect()
+    assert out.count() == n_hot + n_other
+    path = str(tmp_path / "data")
+    out.write.partitionBy("split", "shard").parquet(path)
+    assert len(slices) >= 3 and max(s["n"] for s in slices) <= 12_000
+    assert all(a["high"] < b["low"] for a, b in zip(slices, slices[1:]))
     import pyarrow.parquet as pq
     files = glob.glob(f"{path}/**/*.parquet", recursive=True)
     assert len(files) >= 2
@@ -232,31 +259,6 @@ def test_rerun_overwrites(spark, built, raw_dir):
     assert json.loads(open(f"{out}/metadata/dataset.json").read())["dataset_version"] == "1:1"
 
 
-def test_shard_index_tier_matches_map(spark):
-    """When the subject map is too big to broadcast but the bucket index is not,
-    events get the same split and shard without a shuffle of the events."""
-    from cohortline.operators import subjects as S
-    from cohortline.plans import queries as Q
-
-    shards = S.assign_shards(Q._subjects(spark, SF_SMALL), n_per_shard=7).checkpoint()
-    n = shards.count()
-    events = Q._cohort_events(spark, SF_SMALL)
-    by_map = S.attach_shards(events, shards, shard_rows=n)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        # between the index's bound and the map's bound for these subjects
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(n * 56))
-        by_index = S.attach_shards(events, shards, shard_rows=n)
-        plan = by_index._jdf.queryExecution().executedPlan().toString()
-        # the index is broadcast: no sort-merge join of the events with the subject map
-        assert "_cuts" in plan and "SortMergeJoin [subject_id" not in plan
-        cols = by_map.columns
-        assert by_index.select(*cols).exceptAll(by_map).count() == 0
-        assert by_map.exceptAll(by_index.select(*cols)).count() == 0
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_cohort_schema(spark, built):
     from cohortline.schemas import EVENT_COLUMNS
 
@@ -271,8 +273,8 @@ def test_cohort_schema(spark, built):
     assert dict(spark.read.parquet(paths["splits"]).dtypes) == {"subject_id": "bigint", "split": "string", "shard": "int"}
 
 
-@pytest.mark.parametrize("threshold", ["10485760", "8400", "-1"])
-def test_every_shard_path_keeps_all_events_of_a_seeded_map(spark, threshold):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_shard_join_keeps_all_events(spark, threshold):
     from cohortline.operators import subjects as ops
 
     events = spark.range(3_000).select((F.col("id") % 150).cast("long").alias("subject_id"), F.col("id").alias("value"))
@@ -280,10 +282,9 @@ def test_every_shard_path_keeps_all_events_of_a_seeded_map(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        got = ops.attach_shards(events, splits, shard_rows=150, seed=7, n_per_shard=50)
-        wanted = events.join(splits, "subject_id").select("subject_id", "value", "split", "shard")
-        assert got.count() == 3_000
-        assert got.select(*wanted.columns).exceptAll(wanted).count() == 0
+        got = ops.attach_shards(events, splits).collect()
+        places = {r["subject_id"]: (r["split"], r["shard"]) for r in splits.collect()}
+        assert len(got) == 3_000 and all((r["split"], r["shard"]) == places[r["subject_id"]] for r in got)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -297,6 +298,7 @@ def test_csv_quoted_newlines_and_fractional_times(spark, tmp_path):
     assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [("1", "x\ny"), ("2", "z")]
     times = spark.sql("SELECT TIMESTAMP_NTZ '2150-01-01 01:02:03.5' AS t")
     text = conform(times, spark.createDataFrame([], "t string").schema)
-    assert text.select(parse_time(F.col("t"), "%Y-%m-%d %H:%M:%S").alias("t")).first()["t"] is not None
+    kept = text.select(parse_time(F.col("t"), "%Y-%m-%d %H:%M:%S", text.schema["t"].dataType).alias("t")).first()["t"]
+    assert kept.microsecond == 500_000
     ended = spark.createDataFrame([("2150-01-01\n",), ("2150-01-01",)], "t string")
     assert [r["t"] is None for r in ended.select(parse_time(F.col("t"), "%Y-%m-%d").alias("t")).collect()] == [True, False]

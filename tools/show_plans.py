@@ -38,19 +38,16 @@ def excerpt(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]")
-    shards = subject_ops.assign_shards(Q._subjects(spark, sf))
-    n = shards.count()
+    placement = Q._placement(spark, sf, scratch_dir(spark, "plans"))
     cases = [
         ("events_infusions: one scan of the table, three events by Generate", Q.events_infusions(spark, sf)),
-        ("events_diagnoses: discharge-time lookup broadcast, time filter pushed to the lookup",
+        ("events_diagnoses: discharge-time lookup, time filter pushed to the lookup",
          Q.events_diagnoses(spark, sf)),
         ("static_fix: death-time aggregate (partial before the exchange), broadcast", Q.static_fix(spark, sf)),
         ("subject_shard_number: checkpointed subjects, bounded broadcast offsets, bucket window",
          Q.subject_shard_number(spark, sf)),
-        ("cohort finalize: map-side dedupe, hash exchange, range exchange, sort",
-         cohort_ops.finalize(subject_ops.attach_shards(Q._cohort_events(spark, sf), shards, shard_rows=n))),
-        ("shard join through the bucket index (no shuffle of the events)",
-         subject_ops.attach_shards_by_index(Q.events_labs(spark, sf), subject_ops.shard_index(shards))),
+        ("cohort finalize: subjects' places joined, one exchange, duplicates removed and rows sorted in their task",
+         cohort_ops.finalize(Q._cohort_events(spark, sf), placement)),
         ("page_links: one pass over pages", Q.page_links(spark, sf)),
         ("manifest_audit: full outer join of file hashes and the parsed manifest", Q.manifest_audit(spark, sf)),
     ]
