@@ -6,12 +6,11 @@ signature of 64 minwise tokens. Method:
 
 1. ``TREES`` independent trees: the root of tree t selects one of the 64 token positions and
    sends each class to the child of its token there. A node of at most ``LEAF`` classes is a
-   leaf. A larger one selects one further position from a hash of its path, and a quarter of
-   such nodes a second one, 1 / 0.8 on average, so the rows of a group of near copies neither
-   die out nor multiply; every class follows each, down to ``DEPTH`` levels. A pair of
-   similarity 0.85 meets in a leaf of some tree with probability above 1 - 1e-5 if the root
-   nodes are leaves, and about 1 - 1e-4 two levels further down; in a group that large a
-   document usually has many partners.
+   leaf. A larger one selects one further position from a hash of its path, and one in
+   ``SECOND`` such nodes a second one; every class follows each, down to ``DEPTH`` levels. By
+   calculation no tree holds a pair of similarity 0.85 in a common node with probability
+   1.6e-6, 3.5e-5, 1.4e-4, 3.3e-4, 5.6e-4, 8.1e-4 at level 0 to 5 (closer pairs less); in a group
+   that goes deeper than its roots a document usually has many partners.
 2. Leaves are compared exhaustively on signatures, inside sorted partitions. Classes whose
    signatures could reach the threshold, directly or in a chain, form a unit; most trees find
    the same units, which are kept once.
@@ -23,7 +22,8 @@ signature of 64 minwise tokens. Method:
    together. Afterwards its classes outside its largest component meet every block, chunk by
    chunk. No pair is capped or skipped.
 
-Only classes with a possible partner have their texts shuffled.
+Texts are shuffled only if their class has a possible partner (but for the few that a bitmap of
+the wanted hashes lets pass), and ``dedup`` shuffles rows only if they may go.
 
 Defined results: null and empty texts and texts without words have an empty set and are
 linked with nothing; texts of fewer than five words are one shingle; rows that repeat an id
@@ -46,14 +46,16 @@ from pyspark.sql import functions as F
 
 from cohortline.llm.common import by_bytes, col, saved, whole_text
 from cohortline.llm.components import components
+from cohortline.llm.hash_filter import among
 
 SHINGLE = 5
 THRESHOLD = 85             # percent of the union
 TOKENS = 64                # minwise tokens of a signature
-TREES, DEPTH, SECOND = 8, 6, 4
-LEAF, PIVOTS = 1024, 8
+TREES, DEPTH, SECOND = 8, 6, 2
+LEAF, PIVOTS = 4096, 8
 POSSIBLE = 40              # equal tokens of 64 below which 0.85 is out of the question (1e-5)
 BLOCK = 8_192              # shingles or pairs handled per step
+HELD_PAIRS = 1 << 20       # possible pairs of a part kept before they are merged into groups
 PART_BYTES = 2 << 20       # bytes of texts that are Python objects at once (a longer one is alone)
 
 _SCRAMBLE = np.random.default_rng(20).integers(1 << 31, size=(TOKENS, 2), dtype=np.uint32)
@@ -248,6 +250,23 @@ def _parts(rows: pa.Table) -> Iterator[pa.Table]:
         at, done = to, int(pairs[to - 1])
 
 
+def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least row of each row's group after the pairs (a, b) have joined groups."""
+    root = root.copy()
+    while True:
+        x, y = root[a], root[b]
+        least = np.minimum(x, y)
+        if (x == y).all():
+            return root
+        np.minimum.at(root, x, least)
+        np.minimum.at(root, y, least)
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+
+
 def _node_units(rows: pa.Table, apart: bool) -> Iterator[pa.RecordBatch]:
     m = rows.num_rows
     if m < 2:
@@ -258,29 +277,28 @@ def _node_units(rows: pa.Table, apart: bool) -> Iterator[pa.RecordBatch]:
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     sizes = np.diff(np.r_[starts, m])
     left_in_node = np.repeat(starts + sizes, sizes) - np.arange(m)   # rows from here to the node's end
-    near, other = [], []
+    root, paired = np.arange(m), np.zeros(m, bool)
+    near, other, held = [], [], 0
     at = np.arange(m)
     for d in range(1, int(sizes.max())):
         at = at[left_in_node[at] > d]
         i = at[label[at] != label[at + d]] if apart else at
         i = i[100 * np.minimum(n[i], n[i + d]) >= THRESHOLD * np.maximum(n[i], n[i + d])]
+        i = i[root[i] != root[i + d]]       # not yet known to be in one unit
         for k in range(0, len(i), BLOCK):
             a = i[k: k + BLOCK]
-            hit = (tokens[a] == tokens[a + d]).sum(axis=1) >= POSSIBLE
-            near.append(a[hit])
-            other.append(a[hit] + d)
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (near, other))
-    if not len(a):
+            a = a[(tokens[a] == tokens[a + d]).sum(axis=1) >= POSSIBLE]
+            near.append(a)
+            other.append(a + d)
+            held += len(a)
+        if near and (held >= HELD_PAIRS or d == int(sizes.max()) - 1):
+            a, b = np.concatenate(near), np.concatenate(other)
+            paired[a] = paired[b] = True
+            root = _merged(root, a, b)
+            near, other, held = [], [], 0
+    member = np.flatnonzero(paired)
+    if not len(member):
         return
-    root = np.arange(m)
-    while True:
-        least = np.minimum(root[a], root[b])
-        if (root[a] == least).all() and (root[b] == least).all():
-            break
-        np.minimum.at(root, a, least)
-        np.minimum.at(root, b, least)
-        root = root[root]
-    member = np.unique(np.concatenate([a, b]))
     member = member[np.argsort(root[member], kind="stable")]
     cls = rows["cls"].combine_chunks().take(pa.array(member))
     names, group = cls.to_pylist(), root[member]
@@ -313,8 +331,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFr
     """(cls, __text) of the first document of each wanted class."""
     rows = docs.select(col(id_col).alias("__id"), whole_text(text).alias("__text")).withColumn(
         "__hash", F.xxhash64("__text"))
-    firsts = wanted.select(F.col("first.id").alias("__first"), F.col("first.hash").alias("__first_hash"), "cls")
-    return rows.join(
+    firsts = saved(wanted.select(F.col("first.id").alias("__first"), F.col("first.hash").alias("__first_hash"), "cls"))
+    return among(rows, "__hash", firsts, "__first_hash").filter("__among").drop("__among").join(
         firsts, F.col("__id").eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__first_hash"))
     ).groupBy("cls").agg(F.first("__text").alias("__text"))
 
@@ -331,7 +349,8 @@ def _labels(links: DataFrame) -> DataFrame:
 def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: id, ``text_hash`` (xxhash64), ``n_shingles``, ``component`` (label of
     the component, null without shingles), ``component_id`` (its least id, nulls last), ``kept``
-    (the id is the component's least, and the text hash the least of its rows with that id)."""
+    (the id is the component's least) and ``chosen`` (the row also has the least text hash of the
+    component's rows with that id)."""
     content = whole_text(text)
     described = F.arrow_udf(_described, "struct<n: bigint, cls: binary, sig: binary>")
     rows = saved(
@@ -362,9 +381,10 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     empty = joined.filter("n = 0").withColumns({
         "component": F.lit(None).cast("binary"), "component_id": F.col("__id"), "__least_hash": F.col("__hash")})
     full = joined.filter("n > 0").join(component, "cls")
+    least_id = F.col("__id").eqNullSafe(F.col("component_id"))
     return full.unionByName(empty.select(full.columns)).select(
         F.col("__id").alias(id_col), F.col("__hash").alias("text_hash"), F.col("n").alias("n_shingles"), "component", "component_id",
-        (F.col("__id").eqNullSafe(F.col("component_id")) & (F.col("__hash") == F.col("__least_hash"))).alias("kept"))
+        least_id.alias("kept"), (least_id & (F.col("__hash") == F.col("__least_hash"))).alias("chosen"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -372,14 +392,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     (of rows with that id, the one with the least text hash), and every row without words,
     once if it repeats an id and text."""
     # equal text hashes are in one component, so id and hash name the component's row
-    linked = link(docs, id_col, text).filter("kept")
     nameless = col(id_col).isNull() & F.col("component").isNull()
-    kept = saved(linked.groupBy(col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.count_if(~nameless).alias("copies")))
-    keyed = docs.withColumn("__text_hash", F.xxhash64(whole_text(text)))
+    keys = link(docs, id_col, text).groupBy(col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
+        F.bool_or("chosen").alias("__chosen"), F.count_if(F.col("chosen") & ~nameless).alias("__copies"))
+    touched = saved(keys.filter("NOT __chosen OR __copies > 1"))
+    rows = among(docs.withColumn("__text_hash", F.xxhash64(whole_text(text))), "__text_hash", touched, "__hash")
     this_row = col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    left = keyed.join(kept.filter("copies < 2"), this_row, "left_semi")
-    repeated = kept.filter("copies > 1")
-    if not repeated.isEmpty():   # only these travel to be counted once
-        left = left.unionByName(keyed.join(repeated, this_row, "left_semi").dropDuplicates([id_col, "__text_hash"]))
-    return left.select(*[col(c) for c in docs.columns])
+    looked_up = rows.filter("__among").join(touched, this_row, "left")
+    columns = [col(c) for c in docs.columns]
+    return (rows.filter("NOT __among").select(*columns)
+            .unionByName(looked_up.filter("__chosen IS NULL").select(*columns))
+            .unionByName(looked_up.filter("__chosen").dropDuplicates([id_col, "__text_hash"]).select(*columns)))

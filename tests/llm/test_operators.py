@@ -222,7 +222,7 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert len(set(groups)) == 5 and None not in groups
     assert labels[2] == labels[3] and labels[0] == labels[5] == labels[6]
     assert by_hash[hashes[2]]["component_id"] is None and by_hash[hashes[5]]["component_id"] == 5
-    assert Counter((r["doc_id"], r["text_hash"]) for r in linked if r["kept"]) == Counter(
+    assert Counter((r["doc_id"], r["text_hash"]) for r in linked if r["chosen"]) == Counter(
         [(5, hashes[0]), (5, hashes[1]), (None, min(hashes[2:4])), (None, hashes[4])] + [(9, hashes[7])] * 2
         + [(None, hashes[9])] * 3 + [(5, hashes[9])] * 2)
     got = Counter((r["doc_id"], r["text"]) for r in chosen_path.dedup(docs).collect())
@@ -428,3 +428,42 @@ def test_shard_query_digests(spark):
     for r in entry.queries()["op3_sharding"](spark, path).collect():
         data = text[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"]) == (len(data) + 1, zlib.crc32(data))
+
+
+def test_near_dedup_keeps_by_id_alone_and_chooses_one_row(spark):
+    """Two near copies that share an id are both kept by the contract; ``chosen`` names one."""
+    rng = random.Random(8)
+    base = words(rng, 200).split()
+    near = [*base[:100], "changed", *base[101:]]
+    docs = spark.createDataFrame([(5, " ".join(base)), (5, " ".join(near)), (9, " ".join(base) + " more")], "doc_id long, text string")
+    got = chosen_path.link(docs).collect()
+    assert all(r["component_id"] == 5 and r["kept"] == (r["doc_id"] == 5) for r in got)
+    assert sum(r["chosen"] for r in got) == 1
+    assert chosen_path.dedup(docs).count() == 1
+
+
+def test_hash_filter_loses_nothing_at_any_size(spark, monkeypatch):
+    from cohortline.llm import hash_filter
+    from cohortline.llm.common import saved
+
+    rows = spark.range(3000).select("id", F.xxhash64("id").alias("h"))
+    wanted = saved(rows.filter("id % 7 = 0").select(F.col("h").alias("w")))
+    for most in (1, 32_768):
+        monkeypatch.setattr(hash_filter, "MAX_BLOCKS", most)
+        out = hash_filter.among(rows, "h", wanted, "w").filter("__among").collect()
+        assert {r["id"] for r in out} >= set(range(0, 3000, 7)) and len(out) < 3000 // 7 + 300
+    assert hash_filter.among(rows, "h", wanted.limit(0), "w").filter("__among").count() == 0
+
+
+def test_groups_of_pairs_merge_in_steps(monkeypatch):
+    """Possible pairs are merged into groups a bounded number at a time, with equal results."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        pairs = rng.integers(0, 60, (40, 2))
+        at_once = chosen_path._merged(np.arange(60), pairs[:, 0], pairs[:, 1])
+        root = np.arange(60)
+        for k in range(0, 40, 7):
+            root = chosen_path._merged(root, pairs[k:k + 7, 0], pairs[k:k + 7, 1])
+        assert np.array_equal(root, at_once)
+        for a, b in pairs:
+            assert at_once[a] == at_once[b] <= min(a, b)
