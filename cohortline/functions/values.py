@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -12,3 +15,8 @@ def typed_value(c: Column, target: T.DataType) -> Column:
     if isinstance(target, T.StringType):
         return c.cast("string")
     return c.try_cast(target)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

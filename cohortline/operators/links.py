@@ -1,13 +1,10 @@
 """Links of stored directory-listing pages (A16, re-aimed one-hop walk).
 
-Comments, ``<script>`` and ``<style>`` are removed first; ``href`` values of ``<a>``
-tags are taken with double, single or no quotes and common entities decoded. Each
-href is resolved against the page URL the way a browser does for absolute,
-``//host``, ``/root``, ``?query``, ``#fragment`` and relative references; hrefs
-with ``.``/``..`` segments are reported as ``unresolved`` rather than guessed.
-A link is in scope when its URL starts with the page's directory URL; in-scope
-links ending in ``/`` are directories, the others files, with their path relative
-to that directory. Only one hop: listed directories are not fetched.
+The ``href`` of every ``<a>`` tag is found by tokenizing the page (comments, scripts, styles and
+quoted values hide their contents), its character references are decoded, and it is resolved
+against the page's URL, dot segments included. A link is in scope when its URL starts with the
+page's directory URL; in-scope links ending in ``/`` are directories, the others files, with their
+path relative to that directory. Only one hop: listed directories are not fetched.
 """
 
 from __future__ import annotations
@@ -15,47 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The patterns of the extraction.
-NOISE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>"
-ANCHOR_HREF = r"(?is)<a\s+(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
-DOT_SEGMENT = r"(^|/)\.\.?(/|$|[?#])"
-ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
-
-
-def _unquote(v: Column) -> Column:
-    quoted = v.startswith('"') | v.startswith("'")
-    return F.when(quoted, F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-
-
-def _decode(v: Column) -> Column:
-    for entity, char in ENTITIES:
-        v = F.replace(v, F.lit(entity), F.lit(char))
-    return v
+from cohortline.functions.markup import anchor_hrefs
+from cohortline.functions.urls import join_url
 
 
 def extract_hrefs(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """One row per anchor: the page's columns (minus the HTML) and ``href``."""
-    clean = F.regexp_replace(F.col(html_col), NOISE, " ")
     keep = [c for c in pages.columns if c != html_col]
-    raw = pages.select(*keep, F.explode(F.regexp_extract_all(clean, F.lit(ANCHOR_HREF), 1)).alias("_v"))
-    return raw.select(*keep, F.trim(_decode(_unquote(F.col("_v")))).alias("href"))
-
-
-def resolve(base: Column, href: Column) -> Column:
-    """``href`` resolved against ``base`` (null for dot segments)."""
-    no_frag = F.regexp_replace(base, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    return (F.when(href.rlike(DOT_SEGMENT), F.lit(None).cast("string"))
-            .when(href.rlike(SCHEME), href)
-            .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin, href))
-            .when(href.startswith("?"), F.concat(no_query, href))
-            .when(href.startswith("#"), F.concat(no_frag, href))
-            .when(href == "", base)
-            .otherwise(F.concat(directory_of(base), href)))
+    anchors = pages.select(*keep, F.explode(anchor_hrefs(F.col(html_col))).alias("href"))
+    return anchors.withColumn("href", F.trim("href"))
 
 
 def directory_of(url: Column) -> Column:
@@ -70,11 +35,9 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     anchors = extract_hrefs(pages, html_col)
     base = F.col(url_col)
     folder = directory_of(base)
-    url = resolve(base, F.col("href"))
-    in_scope = url.isNotNull() & url.startswith(folder)
-    kind = (F.when(url.isNull(), F.lit("unresolved"))
-            .when(url.endswith("/"), F.lit("directory"))
-            .otherwise(F.lit("file")))
+    url = join_url(base, F.col("href"))
+    in_scope = F.coalesce(url.startswith(folder), F.lit(False))
+    kind = F.when(url.endswith("/"), F.lit("directory")).otherwise(F.lit("file"))
     rel = F.substr(url, F.length(folder) + 1)
     rel = F.when(kind == "directory", F.regexp_replace(rel, "^/+|/+$", "")).otherwise(rel)
     keep = [c for c in anchors.columns if c not in (url_col, "href")]

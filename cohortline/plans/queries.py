@@ -332,49 +332,77 @@ def manifest_audit(spark, d):
     return audit_ops.audit(files, audit_ops.parse_manifest(lines, order_col="_order"))
 
 
-_LINKS_SQL = f"""
+# What the pages' anchors look like to a pattern once comments, scripts and styles are gone.
+_NOISE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>"
+_ANCHOR_HREF = r"""(?is)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _links_sql(reference: str = "href") -> str:
+    """Anchors of the pages resolved; ``reference`` rewrites each href before."""
+    return rf"""
 WITH a AS (
   SELECT page_id, url, unnest(regexp_extract_all(
-    regexp_replace(html, '{link_ops.NOISE.replace("'", "''")}', ' ', 'g'),
-    '{link_ops.ANCHOR_HREF.replace("'", "''")}', 1)) AS v FROM pages),
-b AS (
+    regexp_replace(html, '{_NOISE.replace("'", "''")}', ' ', 'g'), '{_ANCHOR_HREF.replace("'", "''")}', 1)) AS v FROM pages),
+b0 AS (
   SELECT page_id, url, trim(replace(replace(replace(replace(replace(
     CASE WHEN starts_with(v, '"') OR starts_with(v, '''') THEN substr(v, 2, length(v) - 2) ELSE v END,
     '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS href FROM a),
+b AS (SELECT page_id, url, {reference} AS href FROM b0),
 c AS (
   SELECT page_id, href, url,
     regexp_replace(url, '#.*$', '') AS no_frag,
-    regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') AS no_query,
+    regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', '') AS no_query,
     regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) AS scheme,
     regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS origin FROM b),
 d AS (
   SELECT *, CASE WHEN regexp_matches(no_query, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*$') THEN no_query || '/'
                  ELSE regexp_extract(no_query, '^(.*/)', 1) END AS folder FROM c),
-e AS (
-  SELECT page_id, href, folder,
-    CASE WHEN regexp_matches(href, '{link_ops.DOT_SEGMENT}') THEN NULL
-         WHEN regexp_matches(href, '{link_ops.SCHEME}') THEN href
+raw AS (
+  SELECT page_id, href, folder, origin,
+    regexp_matches(href, '^([a-zA-Z][a-zA-Z0-9+.-]*:|//)') AS absolute,
+    CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
          WHEN starts_with(href, '//') THEN scheme || ':' || href
          WHEN starts_with(href, '/') THEN origin || href
          WHEN starts_with(href, '?') THEN no_query || href
          WHEN starts_with(href, '#') THEN no_frag || href
          WHEN href = '' THEN url
-         ELSE folder || href END AS link_url FROM d)
-SELECT page_id, href, link_url,
-  CASE WHEN link_url IS NULL THEN 'unresolved' WHEN ends_with(link_url, '/') THEN 'directory' ELSE 'file' END AS kind,
-  coalesce(starts_with(link_url, folder), FALSE) AS in_scope,
-  CASE WHEN coalesce(starts_with(link_url, folder), FALSE) THEN
+         ELSE folder || href END AS link FROM d),
+f AS (
+  SELECT *, regexp_extract(substr(link, length(origin) + 1), '^([^?#]*)', 1) AS path,
+    regexp_extract(substr(link, length(origin) + 1), '([?#].*)$', 1) AS tail FROM raw),
+e AS (
+  SELECT page_id, href, folder,
+    CASE WHEN absolute OR NOT regexp_matches(path, '(^|/)\.\.?(/|$)') THEN link
+         ELSE origin || array_to_string(list_reduce(string_split(path, '/'), lambda stack, s:
+                CASE s WHEN '..' THEN stack[:-2] WHEN '.' THEN stack ELSE list_append(stack, s) END, []::VARCHAR[]), '/')
+              || CASE WHEN regexp_matches(path, '/\.\.?$') THEN '/' ELSE '' END || tail END AS link_url FROM f)
+SELECT page_id, href, link_url, CASE WHEN ends_with(link_url, '/') THEN 'directory' ELSE 'file' END AS kind,
+  starts_with(link_url, folder) AS in_scope,
+  CASE WHEN starts_with(link_url, folder) THEN
     CASE WHEN ends_with(link_url, '/') THEN regexp_replace(substr(link_url, length(folder) + 1), '^/+|/+$', '', 'g')
          ELSE substr(link_url, length(folder) + 1) END END AS rel_path
 FROM e"""
 
 
-@query("page_links", _LINKS_SQL)
+@query("page_links", _links_sql())
 def page_links(spark, d):
     """Anchors of every stored page, resolved and classified."""
     return link_ops.page_links(fx.table(spark, d, "pages"))
 
 
+@query("page_links_dotted", _links_sql("""CASE page_id % 4
+  WHEN 0 THEN '.' || href WHEN 1 THEN '..' || href || '/..' WHEN 2 THEN './x/../../.' || href || '?q=../a' ELSE href || '/.' END"""))
+def page_links_dotted(spark, d):
+    """Every anchor rewritten to a reference with dot segments and written as entities."""
+    anchors = link_ops.extract_hrefs(fx.table(spark, d, "pages").select("page_id", "url", "html"))
+    href, kind = F.col("href"), F.col("page_id") % 4
+    dotted = (F.when(kind == 0, F.concat(F.lit("."), href)).when(kind == 1, F.concat(F.lit(".."), href, F.lit("/..")))
+              .when(kind == 2, F.concat(F.lit("./x/../../."), href, F.lit("?q=../a"))).otherwise(F.concat(href, F.lit("/."))))
+    written = F.replace(F.replace(dotted, F.lit("&"), F.lit("&amp;")), F.lit("/"), F.lit("&#x2f;"))
+    again = anchors.select("page_id", "url", F.concat(F.lit("<a class='>' href=\""), written, F.lit("\">x</a>")).alias("html"))
+    return link_ops.page_links(again)
+
+
 # ------------------------------------------------------- B: projections, filters
 
 @query("event_rename", O.with_views(["inputevents"], O.events_sql(

@@ -45,7 +45,53 @@ def test_manifest_last_line_wins(spark):
 def test_manifest_key_rule(spark):
     df = spark.createDataFrame([("https://h/files/ds/3.1/hosp/admissions.csv.gz",), ("https://h/files/ds/3.1/",),
                                 ("http://example.com/foo.csv",)], "u string")
-    assert [r[0] for r in df.select(A.manifest_key(F.col("u"))).collect()] == ["hosp/admissions.csv.gz", "", "foo.csv"]
+    assert [r[0] for r in df.select(A.manifest_key(F.col("u"))).collect()] == ["hosp/admissions.csv.gz", "index.html", None]
+
+
+def test_key_rule_against_path_splitting(spark):
+    """The path's pieces after the first four; the file name where there are none; no key for a
+    path too short to name a manifest."""
+    import itertools
+    from urllib.parse import urlparse
+
+    urls = ["http://h" + "/".join(p) for n in range(6) for p in itertools.product(["", "a"], repeat=n) if not p or p[0] == ""]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select("u", A.manifest_key(F.col("u")).alias("k"))
+    for r in df.collect():
+        parts = urlparse(r.u).path.split("/")
+        name = parts[-1] or "index.html"
+        assert r.k == (("/".join(parts[4:]) or name) if len(parts) >= 4 else None), r.u
+
+
+def test_files_of_any_size_are_hashed(spark, tmp_path, monkeypatch):
+    """Many small files, some streamed ones with odd names, and one over 2 GB (sparse)."""
+    root = tmp_path / "set"
+    expected = {}
+    for i in range(1500):
+        folder = root / f"d{i % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        body = f"{i}\n".encode() * (1 + i % 50)
+        name = f"f {i}%20é+.bin" if i % 500 == 0 else f"f{i}"
+        (folder / name).write_bytes(body)
+        expected[f"d{i % 7}/{name}"] = hashlib.sha256(body).hexdigest()
+    monkeypatch.setattr(A, "ROW_BYTES", 150)
+    got = {r.key: r.actual_sha256 for r in A.hash_files(spark, str(root)).collect()}
+    assert got == expected
+    monkeypatch.undo()
+    big = tmp_path / "big"
+    big.mkdir()
+    with open(big / "huge.csv", "wb") as f:
+        f.truncate((2 << 30) + 5)
+    digest = hashlib.sha256()
+    for size in [1 << 20] * 2048 + [5]:
+        digest.update(bytes(size))
+    assert [tuple(r) for r in A.hash_files(spark, str(big)).collect()] == [("huge.csv", digest.hexdigest())]
+
+
+def test_files_without_a_key_are_fetched(spark):
+    files = spark.createDataFrame([(None, "x"), (None, "x"), ("a", "x")], "key string, actual_sha256 string")
+    manifest = spark.createDataFrame([("a", "x")], "key string, expected_sha256 string")
+    got = sorted(((r.key, r.status, r.refetch) for r in A.audit(files, manifest).collect()), key=str)
+    assert got == sorted([(None, "no_manifest", True)] * 2 + [("a", "valid", False)], key=str)
 
 
 PAGE = """<html><body><!-- <a href="commented.csv">x</a> --><script>var s='<a href="js.csv">';</script>
@@ -61,7 +107,7 @@ def test_links_of_listing(spark):
         "bar/": ("directory", True, "bar"),
         "bur/wor.csv": ("file", True, "bur/wor.csv"),
         "http://other.com/baz.csv": ("file", False, None),
-        "./": ("unresolved", False, None),
+        "./": ("directory", True, ""),
         "?q=1&r=2": ("file", True, "?q=1&r=2"),
     }
 
