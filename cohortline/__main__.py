@@ -33,6 +33,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                         help="subjects per output shard")
     parser.add_argument("--rows-per-task", type=int, default=ROWS_PER_TASK,
                         help="most events a task of the cohort write should take")
+    parser.add_argument("--append", action="store_true",
+                        help="add a later delivery to the cohort in output_dir (its split seed and shard size stay)")
     parser.add_argument("--events", default=None, metavar="FILE",
                         help="JSON event specification in place of the built-in one (table -> event -> fields)")
     parser.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
@@ -45,6 +47,11 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         with open(args.events, encoding="utf-8") as f:
             spec = json.load(f)
     spark = get_session(args.master)
+    if args.append:
+        paths = etl.run_append(spark, args.input_dir, args.output_dir, dataset_name=args.dataset_name,
+                               dataset_version=args.dataset_version, spec=spec, rows_per_task=args.rows_per_task)
+        print(json.dumps(paths))
+        return paths
     paths = etl.run(spark, args.input_dir, args.output_dir, dataset_name=args.dataset_name,
                     dataset_version=args.dataset_version, seed=args.seed, n_per_shard=args.subjects_per_shard, spec=spec,
                     rows_per_task=args.rows_per_task)

@@ -18,10 +18,12 @@ from cohortline.operators import audit as audit_ops
 from cohortline.operators import cohort as cohort_ops
 from cohortline.operators import links as link_ops
 from cohortline.operators import metadata as meta_ops
+from cohortline.operators import order as order_ops
 from cohortline.operators import prepare as prep_ops
 from cohortline.operators import subjects as subject_ops
 from cohortline.operators.events import extract_events
 from cohortline.operators.joins import union_all
+from cohortline.plans import etl
 from cohortline.plans import oracle as O
 from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import EVENT_COLUMNS, RAW, SPLITS_SCHEMA
@@ -301,6 +303,56 @@ def subject_splits(spark, d):
     return spark.read.schema(SPLITS_SCHEMA).parquet(path)
 
 
+_FIRST_DELIVERY = ["patients", "omr"]
+
+
+def _appended_sql(first: list[str], seed: int = subject_ops.DEFAULT_SEED, n: int = subject_ops.SUBJECTS_PER_SHARD) -> str:
+    """Shards after two deliveries: the subjects of ``first``, then all others behind them."""
+    early = " UNION ALL ".join(f"SELECT CAST(subject_id AS BIGINT) AS subject_id FROM {t}" for t in first)
+    return f"""
+SELECT subject_id, split, CAST(floor((row_number() OVER (PARTITION BY split ORDER BY later, h, subject_id) - 1) / {n}) AS INTEGER) AS shard
+FROM (SELECT s.subject_id, s.split, e.subject_id IS NULL AS later,
+        ('0x' || substr(md5(CAST(s.subject_id AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT AS h
+      FROM ({_shards_sql(seed, n)}) s LEFT JOIN (SELECT DISTINCT subject_id FROM ({early})) e ON s.subject_id = e.subject_id)"""
+
+
+@query("subject_splits_appended", O.with_views(SUBJECT_TABLES, _appended_sql(_FIRST_DELIVERY, n=100)))
+def subject_splits_appended(spark, d):
+    """The splits after a second delivery; subjects of the first keep their places."""
+    path = f"{scratch_dir(spark, 'metadata')}/subject_splits.parquet"
+    first = subject_ops.distinct_subjects([fx.RAW_FIXTURES[f"hosp/{t}"](spark, d) for t in _FIRST_DELIVERY])
+    write_parquet(subject_ops.assign_shards(first, n_per_shard=100), path)
+    fresh = subject_ops.append_shards(spark.read.schema(SPLITS_SCHEMA).parquet(path), _subjects(spark, d), n_per_shard=100)
+    write_parquet(fresh.checkpoint(), path, mode="append")
+    return spark.read.schema(SPLITS_SCHEMA).parquet(path)
+
+
+@query("cohort_appended", O.with_views(_COHORT_VIEWS, f"""
+SELECT DISTINCT e.*, s.split, s.shard FROM ({_COHORT_SQL}) e
+JOIN ({_appended_sql(["patients", "admissions"])}) s ON e.subject_id = s.subject_id"""))
+def cohort_appended(spark, d):
+    """G1, AG2, A11: the cohort after two deliveries, the second with a table of the first again."""
+    out = scratch_dir(spark, "cohort")
+    tables = {p: fx.RAW_FIXTURES[p](spark, d) for p in _fixture_spec()}
+    dictionaries = {"hosp/d_icd_diagnoses": fx.d_icd_diagnoses(spark, d), "d_labitems_to_loinc": fx.d_labitems_to_loinc(spark, d)}
+    first = {p: tables[p] for p in ("hosp/patients", "hosp/admissions")}
+    second = {p: tables[p] for p in tables if p != "hosp/patients"}
+    etl.build(spark, etl.Inputs(first, dictionaries), out)
+    etl.append(spark, etl.Inputs(second, dictionaries), out)
+    return spark.read.parquet(f"{out}/data")
+
+
+@query("cohort_order", O.with_views(_COHORT_VIEWS, f"""
+SELECT split, shard, count(*) AS rows, TRUE AS sorted FROM (
+  SELECT DISTINCT e.*, s.split, s.shard FROM ({_COHORT_SQL}) e JOIN ({_SHARDS_SQL}) s ON e.subject_id = s.subject_id)
+GROUP BY split, shard"""))
+def cohort_order(spark, d):
+    """every shard's rows and whether its files hold them in order."""
+    out = scratch_dir(spark, "cohort")
+    path = write_cohort(_cohort_events(spark, d), _placement(spark, d, out), out)
+    return order_ops.shard_order(order_ops.file_order(spark, path)).drop("files")
+
+
 _AUDIT_BASE = "https://data.example.org/files/corpus/1.0/"
 _AUDIT_SQL = f"""
 WITH files AS (
