@@ -29,6 +29,7 @@ from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import EVENT_COLUMNS, RAW, SPLITS_SCHEMA
 from cohortline.session import ensure_conf, scratch_dir
 from cohortline.sources import fixtures as fx
+from cohortline.sources.inference import conflicts, file_kinds, typed
 from cohortline.sources.readers import discover_prefixes, read_csv, read_table, resolve_prefix
 from cohortline.sources.sinks import land, write_cohort, write_parquet
 
@@ -250,6 +251,39 @@ def src_csv_multiline(spark, d):
     return read_csv(spark, path)
 
 
+@query("src_csv_inferred", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS padded,
+  CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_linenumber AS VARCHAR) ELSE l_returnflag END AS mixed,
+  l_linenumber > 3 AS flag, CAST(CASE WHEN l_linenumber > 1 THEN l_linenumber END AS DOUBLE) / 4 AS sparse
+FROM lineitem""")
+def src_csv_inferred(spark, d):
+    """A3: types of an undeclared CSV table found from all its values; codes with leading zeros stay text."""
+    path = f"{scratch_dir(spark, 'csv')}/lines.csv"
+    number = F.col("l_linenumber")
+    spark.read.parquet(f"{d}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", F.lpad(number.cast("string"), 4, "0").alias("padded"),
+        F.when(number % 2 == 0, number.cast("string")).otherwise(F.col("l_returnflag")).alias("mixed"),
+        (number > 3).alias("flag"), (F.when(number > 1, number).cast("double") / 4).alias("sparse")
+    ).write.option("header", "true").csv(path)
+    return typed(read_csv(spark, path))
+
+
+@query("src_csv_conflicts", """
+SELECT * FROM (VALUES ('key', 'double', 0, 'bigint'), ('mixed', 'string', 0, 'bigint'), ('mixed', 'string', 1, 'double'))
+  v("column", type, delivery, file_type) WHERE (SELECT count(*) FROM orders) > 0""")
+def src_csv_conflicts(spark, d):
+    """A3: files whose values alone have another type than the column over all files."""
+    path = f"{scratch_dir(spark, 'csv')}/orders.csv"
+    orders, key = spark.read.parquet(f"{d}/orders.parquet"), F.col("o_orderkey")
+    deliveries = [(key.cast("string"), key.cast("string")), (F.concat(key, F.lit(".5")), F.concat(key, F.lit(".25"))),
+                  (F.concat(key, F.lit(".0")), F.col("o_orderstatus"))]
+    for i, (first, second) in enumerate(deliveries):
+        orders.select(first.alias("key"), second.alias("mixed"), F.col("o_orderpriority").alias(
+            "text")).coalesce(1).write.option("header", "true").csv(f"{path}/delivery={i}")
+    found = conflicts(file_kinds(read_csv(spark, path)))
+    return found.select("column", "type", F.regexp_extract("file", "delivery=([0-9])", 1).cast("int").alias("delivery"), "file_type")
+
+
 @query("src_parquet", O.with_views(["labevents"], "SELECT * FROM labevents"))
 def src_parquet(spark, d):
     """Parquet read conformed to the declared schema."""

@@ -35,16 +35,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return h[0].makeQualified(h[1]).toString() if h else "file:" + os.path.abspath(_local(path))
 
 
-def list_files(spark: SparkSession, root: str) -> list[str]:
-    """Qualified paths of every file below ``root`` (recursive)."""
-    h = _hadoop(spark, root)
+def entries(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """(name, is it a folder) of what lies directly in ``folder``."""
+    h = _hadoop(spark, folder)
     if h:
-        out, it = [], h[0].listFiles(h[1], True)
-        while it.hasNext():
-            out.append(it.next().getPath().toString())
-        return out
-    base = _local(root)
-    return ["file:" + os.path.abspath(os.path.join(d, f)) for d, _, fs in os.walk(base) for f in fs]
+        return [(s.getPath().getName(), bool(s.isDirectory())) for s in h[0].listStatus(h[1])]
+    return [(e.name, e.is_dir()) for e in os.scandir(_local(folder))]
 
 
 def size(spark: SparkSession, path: str) -> int:

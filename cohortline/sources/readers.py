@@ -37,20 +37,22 @@ def discover_prefixes(spark: SparkSession, input_dir: str) -> list[str]:
     """Every table prefix under ``input_dir``, each table once whatever its formats.
 
     A table is a file, or a folder of part files (as Spark writes it), whose name
-    ends in one of SUFFIXES; hidden and ``_``-prefixed entries are skipped.
+    ends in one of SUFFIXES; hidden and ``_``-prefixed entries are skipped. Folders are
+    looked into level by level, table folders never, however many parts they hold.
     """
-    root_uri = files.qualified(spark, input_dir).rstrip("/")
-    found = set()
-    for path in files.list_files(spark, input_dir):
-        rel = path[len(root_uri) + 1:] if path.startswith(root_uri) else path
-        parts = rel.split("/")
-        if any(p.startswith((".", "_")) for p in parts):
-            continue
-        for i, part in enumerate(parts):
-            suffix = next((s for s in SUFFIXES if part.endswith(s) and len(part) > len(s)), None)
-            if suffix:
-                found.add("/".join(parts[:i] + [part[: -len(suffix)]]))
-                break
+    found, level = set(), [""]
+    while level:
+        deeper = []
+        for folder in level:
+            for name, is_folder in files.entries(spark, f"{input_dir.rstrip('/')}/{folder}"):
+                if name.startswith((".", "_")):
+                    continue
+                suffix = next((s for s in SUFFIXES if name.endswith(s) and len(name) > len(s)), None)
+                if suffix:
+                    found.add(folder + name[: -len(suffix)])
+                elif is_folder:
+                    deeper.append(f"{folder}{name}/")
+        level = deeper
     return sorted(found)
 
 
@@ -87,14 +89,12 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True, add_ab
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             infer: bool = False, multiline: bool = True) -> DataFrame:
+             multiline: bool = True) -> DataFrame:
     """CSV with header; ``"`` escapes ``"`` (T6). Text columns unless a schema is
-    declared (cast by name) or ``infer`` asks for an inference pass. Quoted fields may
+    declared (cast by name). Quoted fields may
     hold newlines: a plain file is read by many tasks all the same (``csv_records``), a
     gzipped one is a task by nature. ``multiline=False`` saves the look at the quotes."""
     reader = spark.read.option("header", "true").option("escape", '"')
-    if schema is None and infer:
-        return reader.option("multiLine", str(multiline).lower()).option("inferSchema", "true").csv(path)
     if multiline and not path.endswith(".gz"):
         df = csv_records.read(spark, path)
     else:
@@ -103,10 +103,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def read_table(spark: SparkSession, input_dir: str, prefix: str, schema: T.StructType | None = None,
-               infer: bool = False, columns: list[str] | None = None, add_absent: bool = True) -> DataFrame:
+               columns: list[str] | None = None, add_absent: bool = True) -> DataFrame:
     """The table ``prefix`` in whichever format wins (A1); ``columns`` prunes (A5)."""
     path, fmt = resolve_prefix(spark, input_dir, prefix)
-    df = spark.read.parquet(path) if fmt == "parquet" else read_csv(
-        spark, path, infer=infer and schema is None)
+    df = spark.read.parquet(path) if fmt == "parquet" else read_csv(spark, path)
     df = conform(df, schema, add_absent=add_absent) if schema is not None else df
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
