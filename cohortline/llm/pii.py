@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import col, saved, whole_text
+from cohortline.llm.hash_filter import among
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")     # spans of the method, after the base kinds
@@ -165,10 +166,14 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     here = F.filter("__spans", lambda s: (s["start"] >= F.col("at")) & (s["start"] < F.col("at") + F.length("line")))
     contexts = saved(in_line.select("__id", "__text_hash", "at", "line", "line_hash", F.explode(F.array_distinct(
         F.transform(here, lambda s: _value(s["kind"], s["match"])))).alias("value")))
-    terms = disclosing_terms(docs, contexts, text)
-    # the strongest action per line and term; a line has at most as many as it has words
+    terms = saved(disclosing_terms(docs, contexts, text).withColumn("pair", F.xxhash64("value", "term")))
+    # a line's own words meet the terms of its values, so rows grow with the words of lines; only
+    # words that may be such a term are shuffled
+    own = contexts.select("__id", "__text_hash", "at", "line", "value", F.explode(_terms(F.col("line"))).alias("term"))
+    own = among(own.withColumn("__pair", F.xxhash64("value", "term")), "__pair", terms, "pair").filter("__among")
+    # the strongest action per line and term
     acts = (
-        contexts.join(terms, "value")
+        own.drop("__pair", "__among").join(terms.drop("pair"), ["value", "term"])
         .groupBy("__id", "__text_hash", "at", "line", "term").agg(F.max("kind").alias("kind"))
         .groupBy("__id", "__text_hash", "at", "line").agg(
             F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("acts"))

@@ -174,7 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         smallest(ids.join(good, "__id", "left_anti"), 2).withColumn("__positive", F.lit(False)))
     run = F.arrow_udf(_features, "array<double>")
     rows = docs.select(col(id_col).alias("__id"), whole_text(text).alias("__text")).join(
-        F.broadcast(chosen), "__id").select("__id", "__positive", run("__text").alias("x"))
+        F.broadcast(chosen), "__id")
+    # one text of each id, however many rows repeat it
+    rows = rows.groupBy("__id", "__positive").agg(
+        F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text")).select(
+        "__id", "__positive", run("__text").alias("x"))
     rows = sorted(rows.collect(), key=lambda r: (r["__id"], r["x"]))   # at most 2 x SAMPLE ids
     positive = np.array([r["x"] for r in rows if r["__positive"]], float).reshape(-1, N_FEATURES)
     unlabelled = np.array([r["x"] for r in rows if not r["__positive"]], float).reshape(-1, N_FEATURES)
