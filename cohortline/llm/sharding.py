@@ -1,8 +1,10 @@
 """Sharding by proportional stratified interleaving.
 
 Rows of each source are put in a seeded random order; row r of n gets the fractional rank
-(r - 1/2) / n. Sorted by fractional rank, every stretch of the corpus holds all sources in
-proportion, so cutting the order into equal pieces gives shards that match the mixture.
+(r - u) / n, where u in (0, 1) is drawn for the source: with one u for all, the only rows of all
+sources that have one would meet in one place. Sorted by fractional rank, every stretch of the
+corpus holds all sources in proportion, so cutting the order into equal pieces gives shards that
+match the mixture: of any source, two shards' numbers of rows differ by little more than one.
 
 Ranks are exact without a single-task sort. A source's rows are split by the top bits of
 their hash into cells, a row's rank is the number of rows in earlier cells plus its place in
@@ -12,8 +14,9 @@ so spreads over 4,096 cells. The tables of cell sizes are bounded: 4,096 rows a
 
 Law ``rows``: shard sizes are at most one row apart.
 
-Defined results: a null source is a source of its own; repeated rows each get a place (which
-of them gets which is not defined); texts play no part; an empty table stays empty; an input
+Defined results: a null source is a source of its own; the order is drawn from the whole row, so
+rows that share an id or have none spread like others; rows equal in every column each get a
+place; texts play no part but for that; an empty table stays empty; an input
 column with the name of an added one is replaced.
 """
 
@@ -36,8 +39,7 @@ def interleave(docs: DataFrame, n_shards: int, source: str = "source", id_col: s
     keep = rows.columns
     rows = rows.withColumns({
         "__source": F.coalesce(F.concat(F.lit("="), col(source).cast("string")), F.lit("-")),
-        "__hash": F.xxhash64(F.lit(seed), col(id_col)),
-        "__tie": F.xxhash64(*[col(c) for c in keep]),
+        "__hash": F.xxhash64(F.lit(seed), col(id_col), *[col(c) for c in keep]),
     }).withColumn("__cell", F.shiftrightunsigned("__hash", 64 - HASH_BITS))
 
     by_source = Window.partitionBy("__source")
@@ -46,11 +48,12 @@ def interleave(docs: DataFrame, n_shards: int, source: str = "source", id_col: s
         .withColumn("__before", F.sum("__n").over(by_source.orderBy("__cell")) - F.col("__n"))
         .withColumn("__of", F.sum("__n").over(by_source))
     )
-    in_cell = Window.partitionBy("__source", "__cell").orderBy("__hash", "__tie")
+    in_cell = Window.partitionBy("__source", "__cell").orderBy("__hash")
+    phase = (F.pmod(F.xxhash64(F.lit(seed), F.lit("phase"), "__source"), F.lit(1 << 20)) + 0.5) / (1 << 20)
     ranked = (
         rows.join(cells, ["__source", "__cell"])
         .withColumn("__rank", F.col("__before") + F.row_number().over(in_cell))
-        .withColumn("__part", (F.col("__rank") - 0.5) / F.col("__of"))
+        .withColumn("__part", (F.col("__rank") - phase) / F.col("__of"))
         .withColumn("__slice", F.floor(F.col("__part") * RANK_CELLS))
         .select(*[col(c) for c in keep], "__source", "__rank", "__part", "__slice")
     )

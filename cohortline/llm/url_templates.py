@@ -2,7 +2,7 @@
 
 Per host, the segments of a path are levels of a tree. Segments that vary by their form
 (numbers, dates, hex strings, long mixed ids) become typed wildcards. Level by level, rare
-children of a node with many children become the wildcard ``*`` unless their labels differ
+children of a node become the wildcard ``*`` unless their labels differ
 significantly from the rest of the node's, and labelled siblings
 whose share of good pages does not differ significantly from the rest of their node's are
 merged into one branch ``~``. The paths that are left are the templates. A template whose smoothed
@@ -19,7 +19,8 @@ path starts with the rule's; the longest rule wins.
 Defined results: host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 A-Z in lower case, path what follows up to ``?``, ``#`` or the end; a null URL or one without
 ``://`` has both empty, and is judged as the page of an empty host; empty segments are dropped;
-the tree is as deep as the longest path; repeated rows each get a verdict and count each;
+the tree is as deep as paths share their starts, behind that a path is its own template, however
+long; repeated rows each get a verdict and count each;
 extra columns are ignored; an empty table stays empty.
 """
 
@@ -49,7 +50,6 @@ BAD_HOST_WORDS = (
     "porn", "sex", "spam", "torrent", "track", "tracker", "viagra", "warez", "xxx",
 )
 
-MANY_CHILDREN = 50        # a node with more children has its rare ones generalised
 RARE_SHARE = 0.02         # a child with a smaller share of the node's pages is rare
 SIMILAR_Z = 1.96          # two shares closer than this many standard errors are alike
 PRIOR, STRENGTH = 0.9, 1.0
@@ -118,8 +118,8 @@ def templates(paths: DataFrame) -> DataFrame:
         node = ["host", "t"]
         table = table.withColumn("s", F.coalesce(F.get("segments", F.lit(d)), F.lit("")))
         children = table.groupBy(*node, "s").agg(F.sum("n").alias("c_n"), F.sum("good").alias("c_good"),
-                                                     F.sum("bad").alias("c_bad"))
-        nodes = children.groupBy(*node).agg(F.count("*").alias("kids"), F.sum("c_n").alias("a_n"),
+                                                     F.sum("bad").alias("c_bad"), F.count("*").alias("c_paths"))
+        nodes = children.groupBy(*node).agg(F.sum("c_paths").alias("paths"), F.sum("c_n").alias("a_n"),
                                             F.sum("c_good").alias("a_good"), F.sum("c_bad").alias("a_bad"))
         labelled = F.col("c_good") + F.col("c_bad")
         others = F.col("a_good") + F.col("a_bad") - labelled
@@ -128,17 +128,21 @@ def templates(paths: DataFrame) -> DataFrame:
         error = F.sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / others))
         # no labels on one side: nothing shows that the branches are alike
         alike = F.when((labelled > 0) & (others > 0), F.abs(share - rest) <= SIMILAR_Z * error).otherwise(False)
-        rare = (F.col("kids") > MANY_CHILDREN) & (F.col("c_n") < RARE_SHARE * F.col("a_n"))
+        rare = F.col("c_n") < RARE_SHARE * F.col("a_n")
         # a rare child that differs from the rest keeps its name
         pooled_rare = rare & ((labelled == 0) | (others == 0) | alike)
         name = F.when(F.col("s") == "", "").when(pooled_rare, "*").when(alike, "~").otherwise(F.col("s"))
-        decided = children.join(nodes, node).select(*node, "s", name.alias("name"))
+        decided = children.join(nodes, node).select(*node, "s", name.alias("name"), (F.col("paths") == 1).alias("alone"))
+        # a path alone in its node has no siblings at any level below either: it keeps its names
+        rest = F.slice("segments", F.lit(d + 1), F.size("segments"))
         table = saved(table.join(decided, [*node, "s"]).withColumn(   # else each level triples the plan
-            "t", F.when(F.col("name") == "", F.col("t")).otherwise(F.array_append("t", F.col("name")))).drop("name", "s"))
+            "t", F.when(F.col("alone"), F.concat("t", rest)).when(F.col("name") == "", F.col("t")).otherwise(
+                F.array_append("t", F.col("name")))).withColumn(
+            "ended", F.col("alone") | (F.size("segments") <= d)).drop("name", "s", "alone"))
         d += 1
-        ended = table.filter(F.size("segments") <= d - 1)
+        ended = table.filter("ended").drop("ended")
         done = ended if done is None else done.unionByName(ended)
-        table = table.filter(F.size("segments") > d - 1)
+        table = table.filter("NOT ended").drop("ended")
         if table.isEmpty():
             break
     table = done.withColumn("template", F.concat_ws("/", "host", F.array_join("t", "/")))

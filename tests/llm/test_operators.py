@@ -548,3 +548,41 @@ def test_quality_training_rows_are_bounded_by_ids(spark, monkeypatch):
     monkeypatch.setattr(quality_pu, "_train", lambda p, u, prior, seed: seen.append(len(p) + len(u)))
     quality_pu.fit(docs, labels)
     assert 0 < seen[0] <= 100
+
+
+def test_sharding_matches_brute_force(spark):
+    """Places from one sort of all rows by fractional rank; many sources have one row, some rows
+    share an id or have none."""
+    rows = [(None if i % 5 == 0 else i // 2, "hot" if i % 3 == 0 else f"s{i}" if i % 3 == 1 else f"t{i % 7}", i) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, extra long")
+    drawn = docs.select("*", F.xxhash64(F.lit(17), "doc_id", "doc_id", "source", "extra").alias("h"), F.concat(F.lit("="), "source").alias("s"))
+    drawn = drawn.withColumn("u", (F.pmod(F.xxhash64(F.lit(17), F.lit("phase"), "s"), F.lit(1 << 20)) + 0.5) / (1 << 20)).withColumn(
+        "tie", F.xxhash64(F.lit(17), "s")).collect()
+    by_source = {}
+    for r in sorted(drawn, key=lambda r: r["h"] % 2 ** 64):
+        by_source.setdefault(r["source"], []).append(r)
+    order = sorted((((k + 1 - r["u"]) / len(group), r["tie"], r["s"], k), r["extra"]) for group in by_source.values() for k, r in enumerate(group))
+    place = {extra: i for i, (_, extra) in enumerate(order)}
+    got = sharding.interleave(docs, 8).collect()
+    for r in got:
+        shard = place[r["extra"]] * 8 // 1_500
+        assert (r["shard"], r["slot"]) == (shard, place[r["extra"]] - -(-shard * 1_500 // 8))
+    single = Counter(r["shard"] for r in got if r["source"].startswith("s"))
+    assert max(single.values()) < 2 * min(single.values())      # sources of one row are everywhere
+
+
+def test_url_tree_ends_where_a_path_is_alone(spark, monkeypatch):
+    rounds, save = [], url_templates.saved
+    monkeypatch.setattr(url_templates, "saved", lambda df: rounds.append(1) or save(df))
+    long = "/".join(f"seg{chr(97 + i % 26)}x" for i in range(60))
+    rows = [(1, f"http://a.net/{long}"), (2, f"http://b.net/{long}/end"), (3, "http://a.net/other")]
+    got = {r["page_id"]: r["template"] for r in url_templates.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=()).collect()}
+    assert got[1].endswith(long[-40:]) and got[2] == f"b.net/{long}/end" and len(rounds) <= 4
+
+
+@pytest.mark.parametrize("siblings", [50, 51])
+def test_url_siblings_are_judged_alike_in_any_number(spark, siblings):
+    rows = [(i, f"http://h.net/{chr(97 + i % siblings % 26) * 3}{chr(97 + i % siblings // 26)}/{i}" + ("?q=casino" if i % siblings == 7 else ""))
+            for i in range(siblings * 40)]
+    got = url_templates.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=()).collect()
+    assert all((r["verdict"] == "block") == (r["page_id"] % siblings == 7) for r in got)
