@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 
 # The strftime directives the specification uses, and the Spark
 # datetime pattern letters each one means.
-STRFTIME_TO_SPARK = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss"}
+STRFTIME_TO_SPARK = {
+    "%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss",
+    # further ones that a user's own specification may hold
+    "%y": "yy", "%b": "MMM", "%h": "MMM", "%B": "MMMM", "%j": "DDD", "%I": "hh", "%p": "a", "%f": "SSSSSS",
+    "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%R": "HH:mm", "%D": "MM/dd/yy",
+}
 
 
 # Formats whose text is exactly what a plain cast to TIMESTAMP_NTZ reads;
@@ -27,7 +32,10 @@ def spark_pattern(fmt: str) -> str:
     literal = []
     while i < len(fmt):
         tok = fmt[i:i + 2]
-        if tok in STRFTIME_TO_SPARK:
+        if tok == "%%":
+            literal.append("%")
+            i += 2
+        elif tok in STRFTIME_TO_SPARK:
             if literal:
                 out.append(_quote("".join(literal)))
                 literal = []

@@ -70,3 +70,25 @@ def test_templates(spark):
 def test_collate(spark):
     df = spark.createDataFrame([("a", "b"), (None, "b"), (None, None)], "x string, y string")
     assert [r[0] for r in df.select(collate(df, ["x", "y"])).collect()] == ["a", "b", None]
+
+
+def test_further_time_directives_equal_strptime(spark):
+    """Directives of users' own specifications, on texts written by the same format."""
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cohortline.functions.times import parse_time
+
+    rng = random.Random(3)
+    shorthands = {"%F": "%Y-%m-%d", "%T": "%H:%M:%S", "%R": "%H:%M", "%D": "%m/%d/%y", "%h": "%b"}
+    for fmt in ("%b %d, %Y %I:%M %p", "%d %B %Y", "%Y-%j", "%F %T", "%F %R", "%D", "%y-%m-%d", "%Y-%m-%dT%H:%M:%S.%f", "100%% %F", "%Y%m%d%H%M%S", "%h-%d-%Y"):
+        plain = fmt
+        for short, long in shorthands.items():
+            plain = plain.replace(short, long)
+        times = [dt.datetime(rng.randint(2000, 2068), rng.randint(1, 12), rng.randint(1, 28), rng.randint(0, 23), rng.randint(0, 59),
+                             rng.randint(0, 59), rng.randint(0, 999_999)) for _ in range(30)]
+        rows = [(t.strftime(plain) + ("x" if i % 7 == 0 else ""),) for i, t in enumerate(times)]
+        for i, r in enumerate(spark.createDataFrame(rows, "s string").select("s", parse_time(F.col("s"), fmt).alias("t")).collect()):
+            assert r.t == (None if i % 7 == 0 else dt.datetime.strptime(r.s, plain)), (fmt, r)

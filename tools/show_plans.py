@@ -13,12 +13,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from cohortline.operators import cohort as cohort_ops  # noqa: E402
-from cohortline.operators import subjects as subject_ops  # noqa: E402
 from cohortline.plans import queries as Q  # noqa: E402
-from cohortline.session import get_session  # noqa: E402
+from cohortline.session import get_session, scratch_dir  # noqa: E402
 
 KEEP = re.compile(r"Exchange|Join|Aggregate|Generate|Sort \[|Scan|Union|Window|Filter \(")
 
