@@ -3,8 +3,8 @@
 A text and its parts (paragraphs between empty lines, and lines) are normalised as a whole:
 ASCII letters in lower case, copyright notices dropped, equivalent spellings unified, runs of
 punctuation and white space turned into one blank. Only a line shaped as a notice is dropped
-(``COPYRIGHT_LINE``), so the form of a licence text does not depend on where its prose is wrapped. The SHA-256 of the result is joined by
-hash with the digests of known licence texts, which went through the same steps. A part
+(``COPYRIGHT_LINE``), whole or up to where a licence opens on it, so the form of a licence text does
+not depend on where its prose is wrapped. The SHA-256 of the result is joined by hash with the digests of known licence texts, which went through the same steps. A part
 matches only if it is a known text from end to end.
 
 The known texts are a parameter, (licence, text) rows; their digests (about 100 bytes each)
@@ -143,18 +143,24 @@ def _other_word(words: Iterable[str], prefix: str = "") -> str:
 
 
 _NOTICE = f"copyright[^a-z0-9\\n]+([0-9]|{_other_word(PROSE_WORDS)})"
-# A longer line is a text that was put on one line, its notice ends where the licence starts.
+# A notice ends where a licence opens, or else with its line, however long that is.
 COPYRIGHT_LINE = (
-    f"(?m)^[^a-z0-9\\n]*((\\(c\\)[^a-z0-9\\n]*)?{_NOTICE}[^\\n]{{0,200}}|©[^\\n]{{0,200}}"
-    "|\\(c\\)[^\\n]{0,100}(19|20)[0-9]{2}[^\\n]{0,100}|all rights reserved[^a-z0-9\\n]*)$")
-# Openings that end a notice on the same line.
-OPENINGS = ("permission is hereby granted", "permission to use, copy", "redistribution and use in source")
+    f"(?m)^[^a-z0-9\\n]*((\\(c\\)[^a-z0-9\\n]*)?{_NOTICE}[^\\n]*|©[^\\n]*"
+    "|\\(c\\)[^\\n]*(19|20)[0-9]{2}[^\\n]*|all rights reserved[^a-z0-9\\n]*)$")
+# How licences open (pattern, its usual text), where a whole text was put on the line
+# of its notice.
+OPENINGS = (
+    *[(opening, opening) for opening in (
+        "permission is hereby granted", "permission to use, copy", "redistribution and use in source")],
+    ("mozilla public license version 2.0[^a-z0-9\\n]+1. definitions", "mozilla public license version 2.0 1. definitions"),
+    ("creative commons legal code[^a-z0-9\\n]+cc0 1.0 universal", "creative commons legal code cc0 1.0 universal"),
+)
+NOTICE_ENDS = tuple((f"(\\(c\\) *)?{_NOTICE}[^\\n]*?{pattern}", opening) for pattern, opening in OPENINGS)
 
 # Spellings that licence matching treats as equal, after lower-casing and
 # before punctuation is removed (pattern, replacement). A spelling with a separator stands
 # for the one without, so that a line may end there.
 SPELLINGS = (
-    *[(f"(\\(c\\) *)?{_NOTICE}[^\\n]{{0,200}}?{opening}", opening) for opening in OPENINGS],
     ("https://", "http://"),
     ("\\(c\\)|©", "copyright"),
     ("&", "and"),
@@ -186,8 +192,8 @@ VARIANT_SIGNS = (
 
 def _line_form(line: Column) -> Column:
     """Canonical form of one line in lower case."""
-    unified = F.regexp_replace(line, F.lit("(?d)" + COPYRIGHT_LINE), F.lit(" "))
-    for pattern, replacement in SPELLINGS:
+    unified = line
+    for pattern, replacement in (*NOTICE_ENDS, ("(?d)" + COPYRIGHT_LINE, " "), *SPELLINGS):
         unified = F.regexp_replace(unified, F.lit(pattern), F.lit(replacement))
     # most lines have none of the variants: plain searches spare them the replacements
     some = reduce(lambda x, y: x | y, [F.contains(line, F.lit(sign)) for sign in VARIANT_SIGNS])

@@ -57,8 +57,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _license_sql() -> str:
     q = lambda s: "'" + s.replace("'", "''") + "'"
     spellings = "folded"
-    spellings = f"regexp_replace({spellings}, {q(license_scan.COPYRIGHT_LINE)}, ' ', 'g')"
-    for pattern, replacement in license_scan.SPELLINGS:
+    for pattern, replacement in (*license_scan.NOTICE_ENDS, (license_scan.COPYRIGHT_LINE, " "), *license_scan.SPELLINGS):
         spellings = f"regexp_replace({spellings}, {q(pattern)}, {q(replacement)}, 'g')"
     known = ", ".join(f"({q(a)}, {q(b)})" for a, b in license_scan.KNOWN)
 

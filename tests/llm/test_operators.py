@@ -586,3 +586,15 @@ def test_url_siblings_are_judged_alike_in_any_number(spark, siblings):
             for i in range(siblings * 40)]
     got = url_templates.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=()).collect()
     assert all((r["verdict"] == "block") == (r["page_id"] % siblings == 7) for r in got)
+
+
+def test_license_notices_of_any_length(spark):
+    """A notice ends with its line or where a licence opens, however many holders it names."""
+    holders = ", ".join(f"Holder Number {i} <h{i}@example.org>" for i in range(20))
+    mit = dict(license_scan.KNOWN)["MIT"].split("\n\n", 1)[1]
+    mpl = dict(license_scan.KNOWN)["MPL-2.0"]
+    flat = lambda t: " ".join(t.split())
+    texts = [f"Copyright (c) 2019-2021 {holders}\n\n{mit}", f"Copyright (c) 2019 {holders} {flat(mit)}", f"© 2020 {holders}\n{mit}",
+             f"Copyright 2020 {holders} {flat(mpl)}", f"(c) {holders}, 1999\n{mit}", f"The word copyright {holders}\n{flat(mit)} more"]
+    got = {r["doc_id"]: r["whole_licences"] for r in license_scan.scan(docs_of(spark, texts), license_scan.known_texts(spark)).collect()}
+    assert [got[i] for i in range(6)] == ["MIT", "MIT", "MIT", "MPL-2.0", "MIT", None]
