@@ -14,8 +14,8 @@ moves P(e | t) of a rare term towards P(e), stands in place of a least count. Te
 stand in a line with the value.
 
 All of it is DataFrame code. Values, lines and terms are counted with partial sums; the
-corpus count keeps only terms that share a line with a value, which are broadcast when there
-are at most ``BROADCAST_TERMS`` of them, and otherwise joined by a shuffle of the sums.
+corpus count keeps only terms that share a line with a value, found by a bitmap of their hashes
+before anything is shuffled.
 
 Patterns are written with possessive quantifiers and a run-start test, which match the same
 strings as the plain patterns but need neither recursion nor rescans of long runs.
@@ -48,7 +48,6 @@ WORD = r"[\p{L}\p{N}]+"
 
 SMOOTHING = 1.25         # occurrences of a term that are added at the value's corpus rate
 GENERALISE, REMOVE = 0.8, 0.95
-BROADCAST_TERMS = 100_000
 
 
 def positions(text: Column, pattern: str, matches: Column) -> Column:
@@ -132,13 +131,12 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, text: str) -> DataFra
         .groupBy("value", "term").agg(F.sum("copies").alias("n_te"))
         .join(of_value, "value")
     )
-    wanted = shared.select("term").distinct()
+    wanted = saved(shared.select("term").distinct().withColumn("hash", F.xxhash64("term")))
     all_lines = docs.select(F.explode(F.split(whole_text(text), "\n")).alias("line")).filter("line != ''")
     every_term = all_lines.select(F.explode(_terms(F.col("line"))).alias("term"))
-    if wanted.count() <= BROADCAST_TERMS:
-        of_term = every_term.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        of_term = every_term.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term")
+    # only terms that may be wanted are counted and shuffled
+    counted = among(every_term.withColumn("__h", F.xxhash64("term")), "__h", wanted, "hash").filter("__among")
+    of_term = counted.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted.select("term"), "term")
     total = all_lines.agg(F.count("*").alias("n"))
     rate = F.col("n_e") / F.col("n")
     given = (F.col("n_te") + SMOOTHING * rate) / (F.col("n_t") + SMOOTHING)
