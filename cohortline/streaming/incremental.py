@@ -21,6 +21,8 @@ from cohortline.operators.events import extract_events
 from cohortline.plans.event_spec import EVENTS
 from cohortline.schemas import RAW
 from cohortline.session import ensure_conf
+from cohortline.sources import files
+from cohortline.sources.readers import conform
 
 
 def stream_table_events(spark: SparkSession, landed_dir: str, prefix: str, output_dir: str,
@@ -30,16 +32,18 @@ def stream_table_events(spark: SparkSession, landed_dir: str, prefix: str, outpu
     """Start (and return) a query appending the events of new files of ``prefix``.
 
     ``landed_dir/<prefix>.parquet`` is the folder new Parquet files land in (see
-    the landing sink); ``prepare`` adds preparation columns (e.g. a static
+    the landing sink), all with the column types of those that are there at the first run; ``prepare`` adds preparation columns (e.g. a static
     discharge-time lookup joined to the stream). The checkpoint defaults to
     ``_checkpoints`` in the output folder.
     """
     ensure_conf(spark)
     source = f"{landed_dir.rstrip('/')}/{prefix}.parquet"
-    reader = spark.readStream.schema(RAW[prefix])
+    # a folder's files may have times typed that the schema declares as text
+    held = files.exists(spark, source) and any(not n.startswith(("_", ".")) for n, _ in files.entries(spark, source))
+    reader = spark.readStream.schema(spark.read.parquet(source).schema if held else RAW[prefix])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(source)
+    stream = conform(reader.parquet(source), RAW[prefix])
     if prepare is not None:
         stream = prepare(stream)
     events = extract_events(stream, spec[prefix])

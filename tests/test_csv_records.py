@@ -117,3 +117,15 @@ def test_line_functions():
         for inside in (False, True):
             assert quotes.behind(pa.array([line]), inside)[1] == behind(line, inside), (line, inside)
     assert re.compile(quotes.opens)
+
+
+def test_a_split_without_a_known_state_stops_the_job(spark, tmp_path):
+    """Files that change between the passes must not lose rows."""
+    from pyspark.sql import functions as F
+
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"x\ny"\n')
+    lines = csv_records._lines(spark, str(path)).withColumns(
+        {"starts_in": F.lit(None).cast("boolean"), "is_last": F.lit(True)})
+    with pytest.raises(Exception, match="changed while they were read"):
+        csv_records._whole_records(lines, csv_records.Quotes()).collect()

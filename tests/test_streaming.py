@@ -35,3 +35,13 @@ def test_stream_static_preparation_join(spark, tmp_path):
     from cohortline.plans.queries import QUERIES
     expected = QUERIES["events_diagnoses"](spark, SF_SMALL)
     assert got.count() == expected.count() and got.exceptAll(expected.select(*got.columns)).count() == 0
+
+
+def test_stream_of_typed_times(spark, tmp_path):
+    """Files with typed times, fractions of a second included."""
+    landed, out = str(tmp_path / "landed"), str(tmp_path / "out")
+    spark.sql("SELECT 1L AS subject_id, 'x' AS medication, TIMESTAMP_NTZ '2020-01-01 00:00:00.2' AS charttime UNION ALL "
+              "SELECT 1L, 'x', TIMESTAMP_NTZ '2020-01-01 00:00:00.7'").write.parquet(f"{landed}/hosp/emar.parquet")
+    stream_table_events(spark, landed, "hosp/emar", out).awaitTermination()
+    got = spark.read.parquet(f"{out}/hosp/emar").collect()
+    assert {r["time"].microsecond for r in got} == {200_000, 700_000}
