@@ -1,12 +1,14 @@
 """CSV records found from any byte range, against Python's csv module."""
 
 import csv
+import os
 import random
 import re
 
 import pyarrow as pa
 import pytest
 
+from cohortline.plans import queries
 from cohortline.sources import csv_records
 from cohortline.sources.readers import read_csv
 from cohortline.sources.sinks import land
@@ -129,3 +131,16 @@ def test_a_split_without_a_known_state_stops_the_job(spark, tmp_path):
         {"starts_in": F.lit(None).cast("boolean"), "is_last": F.lit(True)})
     with pytest.raises(Exception, match="changed while they were read"):
         csv_records._whole_records(lines, csv_records.Quotes()).collect()
+
+
+def test_documents_are_written_by_several_tasks(spark, small_splits, tmp_path, monkeypatch):
+    """The table grows by files, not by what one task writes; the rows stay the same."""
+    texts = [(i, f'"{i}", said\nthe second line,' * 40, "en", "web", i) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", 1 << 17)
+    small_splits(1 << 15)
+    got = queries.QUERIES["src_csv_multiline"](spark, str(tmp_path))
+    sizes = [os.path.getsize(f.removeprefix("file://")) for f in got.inputFiles()]
+    assert len(sizes) > 2 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert rows(got.select("doc_id", "text")) == rows(docs.select(docs.doc_id.cast("string"), "text"))
