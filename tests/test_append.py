@@ -98,6 +98,16 @@ def test_second_delivery_rewrites_only_its_shards(spark, inputs, tmp_path):
         assert order_ops.shard_order(order_ops.file_order(spark, paths["data"])).filter("NOT sorted").count() == 0
 
 
+def test_codes_of_a_delivery_are_those_of_its_cohort(spark, inputs, tmp_path):
+    out = str(tmp_path / "out")
+    paths = etl.build(spark, inputs[0], out, n_per_shard=10, seed=5)
+    omr = inputs[1].tables["hosp/omr"]
+    nobody = omr.limit(1).withColumn("subject_id", F.lit(None).cast("long")).withColumn("result_name", F.lit("OF NOBODY"))
+    etl.append(spark, etl.Inputs(inputs[1].tables | {"hosp/omr": omr.union(nobody)}), out)
+    codes = sorted(r["code"] for r in spark.read.parquet(paths["codes"]).collect())
+    assert codes == sorted(r["code"] for r in spark.read.parquet(paths["data"]).select("code").distinct().collect())
+
+
 def test_codes_keep_older_metadata(spark):
     new = spark.createDataFrame([("a", None, None), ("b", "new", ["p"]), ("c", None, None)], "code string, description string, parent_codes array<string>")
     old = spark.createDataFrame([("a", "old", "x"), ("b", "old", "y")], "code string, description string, note string")
