@@ -50,13 +50,13 @@ UNASSIGNED = (
 
 PART_BYTES = 4 << 20       # bytes of texts or token ids handled at once
 BLOCK_CHARS = 1 << 20      # texts are pre-tokenized in blocks of about this size
-CACHE_WORDS = 200_000      # encoded words that are one pre-token, kept per worker
-CACHE_PIECES = 300_000     # encoded pre-tokens of other texts, kept per worker
+CACHE_WORDS = 200_000      # encoded pre-tokens kept per worker: the sum of
+CACHE_PIECES = 300_000     # these two, in one cache
 CACHE_CHARS = 48           # longer ones are not kept
 
 
 class _Encoded(dict):
-    """Piece of text -> its token ids as little-endian uint32 bytes, filled on first use by
+    """Pre-token -> its token ids as little-endian uint32 bytes, filled on first use by
     ``fill``, which returns them and whether to keep them. A full half becomes the older half,
     and pieces used again move to the new one, so the frequent pieces stay."""
 
@@ -105,52 +105,55 @@ class Encoder:
         self.special_pattern = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
+        self.bmp_pattern = bmp_pattern()
         self.pattern = regex.compile(PATTERN)
         known = PATTERN.replace(r"\p{L}+", f"(?:(?![{UNASSIGNED}])\\p{{L}})+").replace(
             r" ?\p{N}+", f" ?(?:(?![{UNASSIGNED}])\\p{{N}})+").replace(
             r"[^\s\p{L}\p{N}]+", f"(?:[^\\s\\p{{L}}\\p{{N}}]|[{UNASSIGNED}])+")
         self.strict_pattern = regex.compile(known)
         self.unassigned = regex.compile(f"[{UNASSIGNED}]")
-        self.pre_tokens = _Encoded(self._pre_token, CACHE_PIECES)
-        self.words = _Encoded(self._word, CACHE_WORDS)
+        self.pre_tokens = _Encoded(self._pre_token, CACHE_WORDS + CACHE_PIECES)
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of one pre-token's bytes.
 
-        ``ids``, ``before`` and ``after`` are the linked list. ``current[i]`` is the merge
-        rank of symbol i with its right neighbour; a queue entry ``rank * n + i`` is stale
-        when that rank has changed since.
+        ``ids``, ``before`` and ``after`` are the linked list. The queue holds ``rank * n + i``
+        for the merge rank of symbol i with its right neighbour; ``current[i]`` is the last such
+        entry of symbol i, and any other one is stale.
         """
         n = len(data)
         ids = [self.byte_ids[b] for b in data]
         if n == 1:
             return ids
         rank_of, merged, pop, push = self.ranks.get, self.merged, heapq.heappop, heapq.heappush
-        current = [rank_of(pair, -1) for pair in zip(ids, ids[1:])]
+        current = [-1 if r is None else r * n + i for i, r in enumerate(map(rank_of, zip(ids, ids[1:])))]
+        queue = [entry for entry in current if entry >= 0]
         current.append(-1)
-        queue = [r * n + i for i, r in enumerate(current) if r >= 0]
         heapq.heapify(queue)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            rank, i = divmod(pop(queue), n)
-            if current[i] != rank:
+            entry = pop(queue)
+            i = entry % n
+            if current[i] != entry:
                 continue
             j = after[i]
-            symbol = ids[i] = merged[rank]
-            ids[j] = current[j] = -1
+            symbol = ids[i] = merged[entry // n]
+            ids[j] = current[i] = current[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                r = current[i] = rank_of((symbol, ids[k]), -1)
-                if r >= 0:
-                    push(queue, r * n + i)
-            else:
-                current[i] = -1
+                rank = rank_of((symbol, ids[k]))
+                if rank is not None:
+                    entry = current[i] = rank * n + i
+                    push(queue, entry)
             h = before[i]
             if h >= 0:
-                r = current[h] = rank_of((ids[h], symbol), -1)
-                if r >= 0:
-                    push(queue, r * n + h)
+                rank = rank_of((ids[h], symbol))
+                if rank is None:
+                    current[h] = -1
+                else:
+                    entry = current[h] = rank * n + h
+                    push(queue, entry)
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> bytes:
@@ -167,25 +170,12 @@ class Encoder:
         return b"".join(map(self._block, blocks(text)))
 
     def _block(self, block: str) -> bytes:
-        # A blank between two characters that are no white space always starts a pre-token,
-        # so such a text may be cut at its blanks and each word encoded once.
-        if block[:1].isspace() or block[-1:].isspace() or _BLANK_RUN.search(block):
-            return self._pieces(block)
-        first, *rest = block.split(" ")
-        return self._pieces(first) + b"".join(map(self.words.__getitem__, rest))
-
-    def _word(self, word: str) -> tuple[bytes, bool]:
-        pieces = self._split(" " + word)
-        if len(pieces) == 1:
-            return self._pre_token(pieces[0])
-        # words with marks or digits are too many to keep; their pieces are few
-        return b"".join(map(self.pre_tokens.__getitem__, pieces)), False
-
-    def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self.pre_tokens.__getitem__, self._split(text)))
+        return b"".join(map(self.pre_tokens.__getitem__, self._split(block)))
 
     def _split(self, text: str) -> list[str]:
-        strict = not text.isascii() and self.unassigned.search(text)
+        if not _ASTRAL.search(text):
+            return self.bmp_pattern.findall(text)
+        strict = self.unassigned.search("".join(set(text)))
         return (self.strict_pattern if strict else self.pattern).findall(text)
 
     def _pre_token(self, piece: str) -> tuple[bytes, bool]:
@@ -200,7 +190,19 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
 
-_BLANK_RUN = re.compile(r" \s|\s ")
+def bmp_pattern() -> re.Pattern:
+    """``PATTERN`` for texts below U+10000, its classes listed code point by code point without
+    the unassigned ones; such lists are looked up faster than properties."""
+    plane = "".join(map(chr, range(0x10000)))
+    letter, number, space = (
+        "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in regex.findall(members, plane))
+        for members in (rf"(?:(?![{UNASSIGNED}])\p{{L}})+", rf"(?:(?![{UNASSIGNED}])\p{{N}})+", r"\s+"))
+    return re.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]").replace(
+        r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]").replace(
+        r"\S", f"[^{space}]").replace(r"\s", f"[{space}]"))
+
+
+_ASTRAL = re.compile("[^\0-\uffff]")
 _CUT = regex.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 

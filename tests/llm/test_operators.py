@@ -405,6 +405,22 @@ def test_bpe_of_random_strings():
         assert decoder.decode(encoder.encode(s)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_merges_a_pre_token_once(monkeypatch):
+    merged, merge = [], bpe.Encoder.merge
+    monkeypatch.setattr(bpe.Encoder, "merge", lambda self, data: merged.append(data) or merge(self, data))
+    encoder = bpe.Encoder(open(VOCABULARY, encoding="utf-8").read())
+    encoder.encode("un mot, deux mots: un mot deux, mots et mot\nun mot")
+    assert len(merged) == len(set(merged))
+
+
+def test_bpe_common_split_is_the_strict_one_at_every_code_point():
+    encoder = bpe.Encoder(open(VOCABULARY, encoding="utf-8").read())
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000)]):
+        s = f"a{c}1{c}, {c}{c} 's{c}b"
+        assert encoder.bmp_pattern.findall(s) == encoder.strict_pattern.findall(s), hex(ord(c))
+
+
+
 # ---- empty tables
 
 def test_empty_tables(spark):
