@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import by_bytes, whole_text, without
+from cohortline.llm.common import bounded_batches, by_bytes, whole_text, without
 
 # The pattern of byte-level pre-tokenization.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -230,6 +230,7 @@ def coder(kind: type, spec) -> Encoder | Decoder:
 
 
 def _spec(df: DataFrame, vocab_path: str):
+    bounded_batches(df.sparkSession)
     with open(vocab_path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

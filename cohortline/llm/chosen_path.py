@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import by_bytes, col, saved, whole_text
+from cohortline.llm.common import bounded_batches, by_bytes, col, saved, whole_text
 from cohortline.llm.components import components
 from cohortline.llm.hash_filter import among
 
@@ -54,8 +54,10 @@ TOKENS = 64                # minwise tokens of a signature
 TREES, DEPTH, SECOND = 8, 6, 2
 LEAF, PIVOTS = 4096, 8
 POSSIBLE = 40              # equal tokens of 64 below which 0.85 is out of the question (1e-5)
-BLOCK = 8_192              # shingles or pairs handled per step
-HELD_PAIRS = 1 << 20       # possible pairs of a part kept before they are merged into groups
+BLOCK = 8_192              # shingles or pairs handled per step, at most
+TILE = 512                 # sets of a unit that meet all others at once
+HELD_CELLS = 1 << 22       # cells of the matrix (set, shingle) held at once
+HELD_PAIRS = 1 << 18       # possible pairs of a part kept before they are merged into groups
 PART_BYTES = 2 << 20       # bytes of texts that are Python objects at once (a longer one is alone)
 
 _SCRAMBLE = np.random.default_rng(20).integers(1 << 31, size=(TOKENS, 2), dtype=np.uint32)
@@ -100,28 +102,39 @@ def _described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             [pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], ["n", "cls", "sig"])
 
 
+def _linked(sets: list[np.ndarray]) -> np.ndarray:
+    """Whether two sets are linked, for all pairs; the sizes of their intersections are held
+    for ``TILE`` sets at a time."""
+    m, sizes = len(sets), np.array([len(x) for x in sets])
+    shingle = np.concatenate(sets)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], np.repeat(np.arange(m, dtype=np.int32), sizes)[order]
+    new = np.r_[True, shingle[1:] != shingle[:-1]]
+    often = ~(new & np.r_[new[1:], True])         # a shingle of one set is in no intersection
+    owner, shingle = owner[often], np.cumsum(new[often]) - 1
+    step, linked = min(BLOCK, max(1, HELD_CELLS // m)), np.zeros((m, m), bool)
+    for lo in range(0, m, TILE):
+        hi = min(lo + TILE, m)
+        common = np.zeros((hi - lo, m - lo), np.int64)
+        rest = owner >= lo                        # pairs with earlier sets are known
+        owner, shingle = owner[rest], shingle[rest]
+        for at in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, step):
+            a, b = np.searchsorted(shingle, (at, at + step))
+            has = np.zeros((m - lo, step), np.float32)
+            has[owner[a:b] - lo, shingle[a:b] - at] = 1
+            common += (has[: hi - lo] @ has.T).astype(np.int64)
+        linked[lo:hi, lo:] = 100 * common >= THRESHOLD * (sizes[lo:hi, None] + sizes[None, lo:] - common)
+        linked[lo:, lo:hi] = linked[lo:hi, lo:].T
+    return linked
+
+
 def _forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Spanning forest of the links between full sets, all pairs compared."""
     m = len(sets)
-    sizes = np.array([len(x) for x in sets])
     if m == 2:
-        common = np.array([[sizes[0], 0], [0, sizes[1]]])
-        common[0, 1] = common[1, 0] = len(np.intersect1d(*sets, assume_unique=True))
-    else:
-        owner = np.repeat(np.arange(m), sizes)
-        shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        often = np.bincount(shingle) > 1          # a shingle of one set is in no intersection
-        owner, shingle = owner[often[shingle]], shingle[often[shingle]]
-        shingle = (np.cumsum(often) - 1)[shingle]
-        common = np.zeros((m, m), np.int64)
-        order = np.argsort(shingle, kind="stable")
-        owner, shingle = owner[order], shingle[order]
-        for at in range(0, int(often.sum()), BLOCK):
-            lo, hi = np.searchsorted(shingle, (at, at + BLOCK))
-            has = np.zeros((m, BLOCK), np.float32)
-            has[owner[lo:hi], shingle[lo:hi] - at] = 1
-            common += np.rint(has @ has.T).astype(np.int64)
-    linked = 100 * common >= THRESHOLD * (sizes[:, None] + sizes[None, :] - common)
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if 100 * common >= THRESHOLD * (len(sets[0]) + len(sets[1]) - common) else []
+    linked = _linked(sets)
     seen, out = np.zeros(m, bool), []
     for root in range(m):
         if seen[root]:
@@ -317,7 +330,8 @@ def _links(units: DataFrame, texts: DataFrame) -> DataFrame:
             edge = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True]) if len(unit) else []
             u, v = [], []
             for lo, hi in zip(edge[:-1], edge[1:]):
-                sets = [shingle_set(t) for t in rows["__text"].slice(lo, hi - lo).to_pylist()]
+                parts = by_bytes(rows["__text"].slice(lo, hi - lo).chunks, PART_BYTES)
+                sets = [shingle_set(t) for part in parts for t in part.to_pylist()]
                 for x, y in _forest(sets):
                     u.append(cls[lo + x])
                     v.append(cls[lo + y])
@@ -351,6 +365,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     the component, null without shingles), ``component_id`` (its least id, nulls last), ``kept``
     (the id is the component's least) and ``chosen`` (the row also has the least text hash of the
     component's rows with that id)."""
+    bounded_batches(docs.sparkSession)
     content = whole_text(text)
     described = F.arrow_udf(_described, "struct<n: bigint, cls: binary, sig: binary>")
     rows = saved(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import by_bytes, whole_text, without
+from cohortline.llm.common import bounded_batches, by_bytes, whole_text, without
 
 # White space between words, and the symbols that are counted.
 WHITE_SPACE = " \t\n\v\f\r"
@@ -187,6 +187,7 @@ def rules(docs: DataFrame, text: str = "text", *, min_repeat: int = MIN_REPEAT,
           max_longest: float = MAX_LONGEST) -> DataFrame:
     """``docs`` plus the counts, ``spans`` (words inside repeated substrings, as word
     offsets), ``base_failed`` and ``kept``."""
+    bounded_batches(docs.sparkSession)
 
     @F.arrow_udf(RESULT_DDL_TYPE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -5,8 +5,10 @@ import hashlib
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -15,8 +17,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortline.llm import (bpe, chosen_path, exact_dedup, license_scan, mixing, pii, quality_pu, sharding,
-                            suffix_repetition, url_templates)
+from cohortline.llm import (bpe, chosen_path, common, exact_dedup, license_scan, mixing, pii, quality_pu,
+                            sharding, suffix_repetition, url_templates)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -485,6 +487,47 @@ def test_groups_of_pairs_merge_in_steps(monkeypatch):
             assert at_once[a] == at_once[b] <= min(a, b)
 
 
+def test_full_sets_are_compared_in_tiles(monkeypatch):
+    """Links of all pairs whatever the tile, in memory that doesn't hold all intersections."""
+    rng = np.random.default_rng(7)
+    bases = [np.unique(rng.integers(0, 1 << 40, 60, np.uint64)) for _ in range(3)]
+    sets = [np.unique(np.r_[b[rng.random(len(b)) > 0.06], rng.integers(0, 50, 2, np.uint64)]) for b in bases for _ in range(15)]
+    plain = [[100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y)) for y in sets] for x in sets]
+    assert 50 < np.sum(plain) < 45 * 45 / 2
+    for tile, cells in ((512, 1 << 22), (7, 90), (1, 1)):
+        monkeypatch.setattr(chosen_path, "TILE", tile)
+        monkeypatch.setattr(chosen_path, "HELD_CELLS", cells)
+        assert (chosen_path._linked(sets) | np.eye(45, dtype=bool)).tolist() == plain
+    monkeypatch.undo()
+    tracemalloc.start()
+    forest = chosen_path._forest([np.delete(bases[0], k % 60) for k in range(2000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(forest) == 1999 and peak < 100 << 20
+
+
+@pytest.mark.parametrize("operator", [
+    suffix_repetition.rules, chosen_path.link, lambda d: bpe.encode(d, VOCABULARY), lambda d: bpe.round_trip(d, VOCABULARY)],
+    ids=["rules", "link", "encode", "round_trip"])
+def test_batches_of_texts_are_bounded_by_bytes(spark, operator):
+    """Workers get a few megabytes of texts at once, not 10,000 rows; a limit of the session stays."""
+    @F.arrow_udf("bigint")
+    def batch_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([batch.nbytes] * len(batch), pa.int64())
+
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    spark.conf.unset(common.BATCH_BYTES)
+    try:
+        operator(docs_of(spark, ["a b", None]))
+        assert texts.select(F.max(batch_bytes("text"))).first()[0] < 6 << 20
+        spark.conf.set(common.BATCH_BYTES, "1000000")
+        operator(docs_of(spark, ["a b", None]))
+        assert spark.conf.get(common.BATCH_BYTES) == "1000000"
+    finally:
+        spark.conf.unset(common.BATCH_BYTES)
+
+
 # ---- 8 terms, span by span
 
 def pii_brute_force(texts):
