@@ -59,7 +59,7 @@ def _folded(parts: DataFrame, by: list[str], order: list) -> DataFrame:
     before = F.lag("last").over(Window.partitionBy(*by).orderBy(*order))
     fits = F.coalesce(before <= F.col("first"), F.lit(True))
     return parts.withColumn("_fits", F.col("sorted") & fits).groupBy(*by).agg(
-        F.sum("rows").alias("rows"), F.bool_and("_fits").alias("sorted"),
+        F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"), F.bool_and("_fits").alias("sorted"),
         F.min_by("first", F.struct(*order)).alias("first"), F.max_by("last", F.struct(*order)).alias("last"))
 
 
@@ -70,12 +70,11 @@ def file_order(spark: SparkSession, data_dir: str) -> DataFrame:
         F.col("_metadata.row_index").alias("index"))
     parts = rows.mapInArrow(_summaries, "split string, shard int, file string, start bigint, rows bigint, sorted boolean, "
                                         f"first {_KEY}, last {_KEY}")
-    return _folded(parts, ["split", "shard", "file"], [F.col("start")])
+    return _folded(parts, ["split", "shard", "file"], [F.col("start")]).drop("parts")
 
 
 def shard_order(files: DataFrame) -> DataFrame:
     """``split, shard, files, rows, sorted`` for every shard: its files are sorted, and one after
     the other they are the shard's events in order."""
-    counts = files.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("files"))
     folded = _folded(files, ["split", "shard"], [F.col("first"), F.col("last"), F.col("file")])
-    return folded.join(counts, ["split", "shard"]).select("split", "shard", "files", "rows", "sorted")
+    return folded.select("split", "shard", F.col("parts").alias("files"), "rows", "sorted")
