@@ -157,3 +157,11 @@ def test_order_audit(spark, tmp_path):
                 assert found.filter("sorted").count() == 2
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_order_audit_reads_the_cohort_once(spark, tmp_path):
+    cohort(str(tmp_path), [[(1, None, "a")], [(2, 5, "b")]])
+    found = order_ops.shard_order(order_ops.file_order(spark, str(tmp_path)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Relation [") == 1
+    assert [(r["files"], r["rows"], r["sorted"]) for r in found.collect()] == [(2, 2, True)]
